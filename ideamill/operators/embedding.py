@@ -11,6 +11,7 @@ from ideamill.functions.text import category_in, newline_to_space
 from ideamill.functions.values import field_description, not_blank
 from ideamill.operators.numbering import number_categories
 from ideamill.operators.reshape import keep_first
+from ideamill.settings import shared_folder
 
 # Keyword rules used when the caller gives no model. The first match decides.
 KEYWORD_RULES = (
@@ -38,12 +39,13 @@ def classify_fields(answers: DataFrame, order: list[str],
         answers.select("company_id", "field_id", "title", "description", *[
             c for c in order if c not in ("company_id", "field_id", "title", "description")]),
         ["field_id", "company_id"], order)
-    named = fields.withColumn(
-        "category", category_in(classify(F.col("title"), F.col("description"))))
-    return number_categories(
-        named.select("company_id", "field_id", F.col("title").alias("name"), "description",
-                     "category"),
-        "company_id", "category", ["field_id"])
+    shared_folder(answers.sparkSession)
+    # Written once: the numbering reads the rows twice, the model must see them once.
+    named = fields.select(
+        "company_id", "field_id", F.col("title").alias("name"), "description",
+        category_in(classify(F.col("title"), F.col("description"))).alias("category"),
+    ).checkpoint()
+    return number_categories(named, "company_id", "category", ["field_id"])
 
 
 def text_digest(text: Column) -> Column:

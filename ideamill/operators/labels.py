@@ -11,7 +11,7 @@ from ideamill.functions.text import (
     PROMPT_LINE, fill_template, flatten_label_ideas, parse_label_answer, prompt_text,
 )
 from ideamill.operators.numbering import carry_forward, running_number
-from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS
+from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, shared_folder
 
 
 def description_or_solution(solution: Column, description: Column) -> Column:
@@ -107,9 +107,12 @@ def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
             yield pd.DataFrame({**{g: pdf[g] for g in group}, "chunk": pdf["chunk"],
                                 "answer": replies})
 
+    shared_folder(texts.sparkSession)
     placed = texts.select(*group, "chunk", "ideas").repartition(*group).sortWithinPartitions(
         *group, "chunk")
-    return placed.mapInPandas(ask, ", ".join([*keys, "chunk long", "answer string"]))
+    # Written once: later steps read the answers several times, the model is asked once.
+    return placed.mapInPandas(
+        ask, ", ".join([*keys, "chunk long", "answer string"])).checkpoint()
 
 
 def label_ideas(chunked: DataFrame, answers: DataFrame, group: list[str]) -> DataFrame:

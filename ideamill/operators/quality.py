@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -14,22 +17,33 @@ from ideamill.functions.vectors import vector_digest
 from ideamill.operators.clustering import SEED, block_pairs
 from ideamill.settings import CELL_POINTS
 
+PARALLEL_FITS = 5
+
 
 def _features(df: DataFrame, vector: str) -> DataFrame:
     return df.where(F.col(vector).isNotNull()).withColumn(
         "features", array_to_vector(F.col(vector).cast("array<double>")))
 
 
+def _sweep(df: DataFrame, counts: list[int], rounds: int, seed: int, score) -> list[tuple]:
+    """``score(model, df)`` of one fit per number of clusters; the fits run side by side."""
+    def fit(k: int) -> tuple[int, float]:
+        return k, float(score(KMeans(k=k, maxIter=rounds, seed=seed).fit(df), df))
+
+    with ThreadPool(min(len(counts), PARALLEL_FITS)) as pool:
+        return pool.map(inheritable_thread_target(df.sparkSession)(fit), counts)
+
+
 def elbow_sweep(df: DataFrame, vector: str, most: int = 10, rounds: int = 300,
                 seed: int = SEED) -> DataFrame:
     """Within-cluster sum of squares for 1 to ``most`` clusters of all rows."""
     data = _features(df, vector).select("features").persist()
-    rows = []
-    for k in range(1, most + 1):
-        model = KMeans(k=k, maxIter=rounds, seed=seed).fit(data)
-        rows.append((k, float(model.summary.trainingCost)))
+    rows = _sweep(data, list(range(2, most + 1)), rounds, seed,
+                  lambda model, _: model.summary.trainingCost)
     data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k long, wss double")
+    one = within_sum_of_squares(df.where(F.col(vector).isNotNull()), [], vector).select(
+        F.lit(1).cast("long").alias("k"), "wss")
+    return one.unionByName(df.sparkSession.createDataFrame(rows, "k long, wss double"))
 
 
 def silhouette_sweep(df: DataFrame, vector: str, most: int = 10, rounds: int = 300,
@@ -37,10 +51,8 @@ def silhouette_sweep(df: DataFrame, vector: str, most: int = 10, rounds: int = 3
     """Mean silhouette (squared Euclidean distance) for 2 to ``most`` clusters of all rows."""
     data = _features(df, vector).select("features").persist()
     judge = ClusteringEvaluator(distanceMeasure="squaredEuclidean")
-    rows = []
-    for k in range(2, most + 1):
-        model = KMeans(k=k, maxIter=rounds, seed=seed).fit(data)
-        rows.append((k, float(judge.evaluate(model.transform(data)))))
+    rows = _sweep(data, list(range(2, most + 1)), rounds, seed,
+                  lambda model, d: judge.evaluate(model.transform(d)))
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k long, silhouette double")
 

@@ -21,14 +21,14 @@ def clustered_ideas(dim_idea: DataFrame, fact: DataFrame, loaded: DataFrame,
                     columns: list[str] = VECTOR_COLUMNS, restarts: int = RESTARTS,
                     rounds: int = ROUNDS, seed: int = SEED, cell_points: int = CELL_POINTS
                     ) -> DataFrame:
-    """Ideas not clustered yet with their cluster and distance, per company."""
+    """Ideas not clustered yet with their cluster and distance, per company; written once."""
     ideas = idea_vectors(
         new_records(dim_idea, loaded, "idea_db_id"), fact, size, as_text, columns)
     found = cluster_groups(
         ideas, "company_id", "combined_emb", restarts, rounds, seed, cell_points)
     return found.select(
         "idea_db_id", "company_id", "goal_id", "cluster_number", "distance_centroid", "name",
-        "description", "solution_1")
+        "description", "solution_1").checkpoint()
 
 
 def ideas_to_label(clustered: DataFrame) -> DataFrame:

@@ -17,10 +17,10 @@ from ideamill.settings import (
 def ranked_contributors(contributions: DataFrame, users: DataFrame,
                         hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Contributors (``idea_id``, ``user_id``, ``user_key``) numbered in an idea by user."""
-    found = look_up(
-        contributions.select("idea_id", "user_id"), users, {"user_id": "user_db_id"}, "id",
-        "user_key")
-    return running_number(found, ["idea_id"], ["user_id"], "user_num", hot_rows)
+    numbered = running_number(
+        contributions.select("idea_id", "user_id"), ["idea_id"], ["user_id"], "user_num",
+        hot_rows)
+    return look_up(numbered, users, {"user_id": "user_db_id"}, "id", "user_key")
 
 
 def contributor_columns(ranked: DataFrame, per_cell: int = MEMBERS_PER_CELL) -> DataFrame:
