@@ -34,13 +34,17 @@ def mean_of_valid(vectors: list[Column], size: int = VECTOR_SIZE) -> Column:
     def usable(x: Column) -> Column:
         return x.isNotNull() & ~F.isnan(x)
 
-    total = F.aggregate(valid, zeros, lambda acc, v: F.zip_with(
-        acc, v, lambda a, x: F.when(usable(x), a + x).otherwise(a)))
-    number = F.aggregate(valid, zeros, lambda acc, v: F.zip_with(
-        acc, v, lambda a, x: F.when(usable(x), a + 1.0).otherwise(a)))
-    mean = F.zip_with(total, number, lambda s, n: F.when(n > 0, s / n).otherwise(
-        F.lit(float("nan"))))
-    return F.when(F.size(valid) > 0, mean)
+    def add_up(step) -> Column:
+        return F.aggregate(valid, zeros, lambda acc, v: F.zip_with(acc, v, step))
+
+    # Nearly all vectors are whole: their sums need no test per value.
+    gaps = F.exists(valid, lambda v: F.exists(v, lambda x: ~usable(x)))
+    plain = F.transform(add_up(lambda a, x: a + x), lambda s: s / F.size(valid))
+    careful = F.zip_with(
+        add_up(lambda a, x: F.when(usable(x), a + x).otherwise(a)),
+        add_up(lambda a, x: F.when(usable(x), a + 1.0).otherwise(a)),
+        lambda s, n: F.when(n > 0, s / n).otherwise(F.lit(float("nan"))))
+    return F.when(F.size(valid) > 0, F.when(gaps, careful).otherwise(plain))
 
 
 def squared_distance(a: Column, b: Column) -> Column:

@@ -24,20 +24,25 @@ def known_rows(source: DataFrame, known: DataFrame, on: Mapping[str, str]) -> Da
     return source.join(keys, list(on), "left_semi")
 
 
-def unique_lookup(lookup: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
-    """One value per key; the row that comes last in ``order`` wins."""
-    return lookup.groupBy(*keys).agg(F.max_by(value, F.struct(order, value)).alias(value))
+def unique_lookup(lookup: DataFrame, keys: list[str], value: str, order: str | None = None
+                  ) -> DataFrame:
+    """One value per key: the one that comes last in ``order``, by default the highest."""
+    last = F.max_by(value, F.struct(order, value)) if order else F.max(value)
+    return lookup.groupBy(*keys).agg(last.alias(value))
 
 
 def look_up(df: DataFrame, lookup: DataFrame, on: Mapping[str, str], value: str, output: str,
-            default: Column | None = None, order: str | None = None) -> DataFrame:
+            default: Column | None = None, order: str | None = None, unique: bool = False
+            ) -> DataFrame:
     """Add ``output``: the lookup's value for the key, or the default when it is missing.
 
     ``on`` maps columns of ``df`` to key columns of ``lookup``. Keys of the lookup are made
-    unique first (by ``order``, else by the value), so no row is doubled.
+    unique first (see ``unique_lookup``), so no row is doubled; ``unique`` says that they are,
+    as the surrogate key of a dimension is.
     """
-    unique = unique_lookup(lookup, list(on.values()), value, order or value)
-    side = unique.select(
+    keys = list(on.values())
+    table = lookup if unique else unique_lookup(lookup, keys, value, order)
+    side = table.select(
         *[F.col(theirs).alias(f"_key_{ours}") for ours, theirs in on.items()],
         F.col(value).alias("_found"),
     )

@@ -83,11 +83,21 @@ def global_number(df: DataFrame, order: list[str], name: str,
         *df.columns, (inside + F.col("_before") + F.lit(start)).cast("long").alias(name))
 
 
-def surrogate_keys(new: DataFrame, loaded: DataFrame, order: list[str],
-                   key: str = "id") -> DataFrame:
-    """Give new rows the keys after the highest loaded one, in the given order."""
+def surrogate_keys(new: DataFrame, loaded: DataFrame, order: list[str], key: str = "id",
+                   unique: bool = False) -> DataFrame:
+    """Give new rows the keys after the highest loaded one, in the given order.
+
+    With ``unique`` (``order`` is a unique key without NULLs) only the key columns are sorted and
+    written; the numbers are joined back, and wide rows that are already placed by the key do not
+    move again.
+    """
     highest = loaded.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).first()["m"]
-    numbered = global_number(new, order, key, start=int(highest) + 1)
+    start = int(highest) + 1
+    if unique:
+        numbers = global_number(new.select(*order), order, key, start)
+        numbered = new.join(numbers, order)
+    else:
+        numbered = global_number(new, order, key, start)
     return numbered.select(key, *[c for c in new.columns if c != key])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +11,12 @@ from pyspark.sql import functions as F
 from ideamill.settings import MEMBERS_PER_CELL, USER_COLUMNS
 
 
-def first_value(value: Column, order: list[str]) -> Column:
-    """Aggregate: the first non-NULL value in the given order, the smaller one on a tie."""
-    rank = F.struct(*order, value.alias("_value"))
+def first_value(value: Column, order: list[str], tie: Column | None = None) -> Column:
+    """Aggregate: the first non-NULL value in the given order.
+
+    On a tie the smallest ``tie`` decides, by default the value itself.
+    """
+    rank = F.struct(*order, (value if tie is None else tie).alias("_tie"))
     return F.min_by(value, F.when(value.isNotNull(), rank))
 
 
@@ -23,14 +27,17 @@ def first_non_null(df: DataFrame, keys: list[str], columns: list[str],
 
 
 def pivot_first(df: DataFrame, keys: list[str], category: str, order: list[str],
-                outputs: Mapping[str, Mapping[str, str]], others: list[str] = ()) -> DataFrame:
+                outputs: Mapping[str, Mapping[str, str]], others: list[str] = (),
+                ties: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
     """Per group, the first non-NULL value of each category as a column.
 
     ``outputs`` maps a value column to {category: output column}; the categories are listed, so
     the schema does not depend on the data. ``others`` are kept as in ``first_non_null``.
+    ``ties`` names a shorter column that breaks ties of a wide value column.
     """
     wide = [
-        first_value(F.when(F.col(category) == name, F.col(value)), order).alias(output)
+        first_value(F.when(F.col(category) == name, F.col(value)), order,
+                    F.col(ties[value]) if value in ties else None).alias(output)
         for value, columns in outputs.items() for name, output in columns.items()
     ]
     rest = [first_value(F.col(c), order).alias(c) for c in others]

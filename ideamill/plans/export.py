@@ -35,8 +35,9 @@ def vector_records(ideas: DataFrame, companies: DataFrame, goals: DataFrame,
                    exported: DataFrame, rows: int = EXPORT_BATCH) -> DataFrame:
     """Records ``id``, ``values``, ``metadata`` not exported yet, with their ``batch_no``."""
     with_company = look_up(ideas, companies, {"company_id": "id"}, "company_db_id",
-                           "company_db_id")
-    with_goal = look_up(with_company, goals, {"goal_id": "id"}, "goal_db_id", "goal_db_id")
+                           "company_db_id", unique=True)
+    with_goal = look_up(with_company, goals, {"goal_id": "id"}, "goal_db_id", "goal_db_id",
+                        unique=True)
     records = with_goal.select(
         F.col("idea_db_id").cast("string").alias("id"),
         F.col("combined_emb").alias("values"),

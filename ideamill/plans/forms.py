@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ideamill.operators.reshape import first_non_null
+
 
 def answers_with_fields(answers: DataFrame, fields: DataFrame, ideas: DataFrame) -> DataFrame:
     """Each answer with its form field and its idea."""
@@ -104,13 +106,32 @@ def users_of_areas(users: DataFrame, areas: DataFrame) -> DataFrame:
     return users.join(area, F.col("area_id") == F.col("_area"), "right").drop("_area")
 
 
-def idea_metadata(ideas: DataFrame, tags: DataFrame, ideas_tags: DataFrame) -> DataFrame:
-    """Ideas with their tags, one row per tag; an untagged idea keeps one row."""
+def _tagged(tags: DataFrame, ideas_tags: DataFrame, how: str) -> DataFrame:
     tag = tags.select(
         F.col("id").alias("tag_id"), F.col("name").alias("tag_name"),
         F.col("description").alias("tag_description"), "tag_type")
-    tagged = tag.join(ideas_tags.select("tag_id", "idea_id"), "tag_id", "left")
-    idea = ideas.select(
+    return tag.join(ideas_tags.select("tag_id", "idea_id"), "tag_id", how)
+
+
+def _idea_columns(ideas: DataFrame) -> DataFrame:
+    return ideas.select(
         F.col("id").alias("idea_id"), "user_id", "goal_id", "is_private", "stage",
         "like_ideas_count", "average_general", F.col("submited_at").alias("submitted_at"))
-    return tagged.join(idea, "idea_id", "right").distinct()
+
+
+def idea_metadata(ideas: DataFrame, tags: DataFrame, ideas_tags: DataFrame) -> DataFrame:
+    """Ideas with their tags, one row per tag; an untagged idea keeps one row."""
+    tagged = _tagged(tags, ideas_tags, "left")
+    return tagged.join(_idea_columns(ideas), "idea_id", "right").distinct()
+
+
+def idea_attributes(ideas: DataFrame, tags: DataFrame, ideas_tags: DataFrame) -> DataFrame:
+    """One row per idea: its columns and the first value of each tag column, by tag.
+
+    The same values as the first ones of ``idea_metadata``, but the tags are reduced before the
+    join, so that neither ideas nor answers are repeated per tag.
+    """
+    first = first_non_null(
+        _tagged(tags, ideas_tags, "inner"), ["idea_id"],
+        ["tag_name", "tag_description", "tag_type"], ["tag_id"])
+    return _idea_columns(ideas).join(first, "idea_id", "left")

@@ -18,17 +18,22 @@ from ideamill.operators.embedding import attach_vectors, classify_by_keywords, c
 from ideamill.operators.history import validity
 from ideamill.operators.lookup import known_rows, look_up, new_records
 from ideamill.operators.numbering import surrogate_keys
-from ideamill.operators.reshape import first_non_null, pivot_first
-from ideamill.plans.forms import answers_of_companies, idea_metadata
+from ideamill.operators.reshape import pivot_first
+from ideamill.plans.forms import answers_of_companies, idea_attributes
 from ideamill.settings import LOOKUP_MISS, MAX_TIMESTAMP, UNUSED_CATEGORIES
 
 
 def new_answers(answers: DataFrame, fields: DataFrame, ideas: DataFrame, companies: DataFrame,
                 dim_idea: DataFrame) -> DataFrame:
-    """Cleaned answers of known companies whose idea is not loaded yet."""
-    rows = answers_of_companies(answers, fields, ideas, companies)
+    """Cleaned answers of known companies whose idea is not loaded yet.
+
+    Loaded ideas are dropped first, and each table is cleaned before the joins repeat its texts.
+    """
     loaded = dim_idea.select(F.col("idea_db_id").alias("idea_id"))
-    return keep_listed_columns(new_records(rows, loaded, "idea_id"))
+    unseen = new_records(answers, loaded, "idea_id")
+    return answers_of_companies(
+        keep_listed_columns(unseen), keep_listed_columns(fields), keep_listed_columns(ideas),
+        companies)
 
 
 def class_table_rows(answers: DataFrame, loaded: DataFrame,
@@ -50,11 +55,11 @@ def categorised_answers(answers: DataFrame, class_table: DataFrame) -> DataFrame
     return found.where(~F.col("category").isin(*UNUSED_CATEGORIES))
 
 
-def wide_ideas(answers: DataFrame, vectors: DataFrame, metadata: DataFrame) -> DataFrame:
+def wide_ideas(answers: DataFrame, vectors: DataFrame, attributes: DataFrame) -> DataFrame:
     """One row per idea: attributes, six problems, six solutions and their vectors.
 
-    ``answers`` carry a category, ``vectors`` map text digests to vectors. The tags of an idea
-    are reduced to their first values before the join, so answers are never repeated per tag.
+    ``answers`` carry a category, ``vectors`` map text digests to vectors, ``attributes`` hold
+    one row per idea.
     """
     embedded = attach_vectors(answers, "field_answer", vectors, "vector")
     per_idea = pivot_first(
@@ -63,10 +68,9 @@ def wide_ideas(answers: DataFrame, vectors: DataFrame, metadata: DataFrame) -> D
             "category_name": F.col("category")}),
         ["idea_id"], "category_name", ["field_id"],
         {"field_answer": schemas.TEXT_COLUMN_OF, "vector": schemas.VECTOR_COLUMN_OF},
-        others=["company_id", "name", "description", "category", "created_at", "updated_at"])
-    attributes = [c for c in metadata.columns if c not in ("idea_id", "tag_id")]
-    per_tag = first_non_null(metadata, ["idea_id"], attributes, ["tag_id"])
-    joined = per_idea.join(per_tag, "idea_id", "left").withColumnRenamed(
+        others=["company_id", "name", "description", "category", "created_at", "updated_at"],
+        ties={"vector": "field_answer"})
+    joined = per_idea.join(attributes, "idea_id", "left").withColumnRenamed(
         "idea_id", "idea_db_id")
     return compact_left(normalise_missing(joined), schemas.FAMILIES)
 
@@ -85,7 +89,8 @@ def idea_dimension_rows(wide: DataFrame, loaded: DataFrame, run: datetime,
         "is_current",
     ]
     return surrogate_keys(
-        new_records(rows.select(*columns), loaded, "idea_db_id"), loaded, ["idea_db_id"])
+        new_records(rows.select(*columns), loaded, "idea_db_id"), loaded, ["idea_db_id"],
+        unique=True)
 
 
 def submission_stage(wide: DataFrame, companies: DataFrame, goals: DataFrame) -> DataFrame:
@@ -107,6 +112,6 @@ def load_ideas(answers: DataFrame, class_table: DataFrame, vectors: DataFrame,
     """Rows for the idea dimension and the submission stage."""
     wide = wide_ideas(
         categorised_answers(answers, class_table), vectors,
-        idea_metadata(ideas, tags, ideas_tags))
+        idea_attributes(ideas, tags, ideas_tags))
     return (idea_dimension_rows(wide, dim_idea, run),
             submission_stage(wide, companies, goals))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ideamill.settings import EXPORT_BATCH
+from ideamill.settings import EXPORT_BATCH, scratch_path
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -48,6 +48,13 @@ def write_stage(df: DataFrame, path: str, run: date) -> None:
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, read with column pruning."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def append_rows(df: DataFrame, path: str, columns: list[str]) -> None:
     """Append all rows, by column name."""
     df.select(*columns).write.mode("append").parquet(path)

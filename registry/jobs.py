@@ -12,8 +12,9 @@ from ideamill.operators.embedding import (
 )
 from ideamill.operators.labels import chunk_texts, live_answers
 from ideamill.plans import clusters, dimensions, export, facts, ideas
+from ideamill.plans.forms import idea_attributes
 from ideamill.settings import scratch_path
-from ideamill.sources.tables import write_records
+from ideamill.sources.tables import write_records, written
 from ideamill.streaming.incremental import load_stream, read_landing
 from registry.base import new_registry
 from registry.stand_ins import (
@@ -139,18 +140,19 @@ class_table AS (SELECT row_number() OVER (ORDER BY company_id, field_id) AS id,
     ORDER BY field_id) ELSE '' END AS category FROM named)"""
 
 
-def _all_answers(t: Tables):
-    return ideas.new_answers(t.answers, t.fields, t.ideas, t.dim_company,
-                             _empty(t, "idea_db_id long"))
+def _landed_answers(t: Tables):
+    """The cleaned answers, landed as a table for the jobs that follow."""
+    return written(ideas.new_answers(t.answers, t.fields, t.ideas, t.dim_company,
+                                     _empty(t, "idea_db_id long")), "answers")
 
 
-def _class_table(t: Tables):
-    return ideas.class_table_rows(_all_answers(t), _empty(t, schemas.PARAM_CLASS_TABLE))
+def _class_table(t: Tables, answers):
+    return ideas.class_table_rows(answers, _empty(t, schemas.PARAM_CLASS_TABLE))
 
 
 @query(f"WITH {SQL_CLASSES} SELECT * FROM class_table")
 def field_classification(t: Tables):
-    return _class_table(t)
+    return _class_table(t, _landed_answers(t))
 
 
 @query("""SELECT p_partkey AS field_id, CAST(p_size AS BIGINT) AS company_id,
@@ -185,9 +187,8 @@ def embedding_attach(t: Tables):
             "sha2(concat('answer ', vec_id), 256) AS digest"), "digest", "left_anti")
     new = unseen_texts(t.answers, "answer", cache)
     made = embed_texts(new, lambda text: F.array_repeat(F.length(text).cast("double"), 64))
-    path = scratch_path(t.spark, "vectors")
-    cache.unionByName(made).write.parquet(path)
-    rows = attach_vectors(t.answers, "answer", t.spark.read.parquet(path), "vector")
+    table = written(cache.unionByName(made), "vectors")
+    rows = attach_vectors(t.answers, "answer", table, "vector")
     return rows.select("idea_id", F.col("company_form_field_id").alias("field_id"),
                        F.round(F.get("vector", F.lit(0)), 6).alias("first"))
 
@@ -195,7 +196,8 @@ def embedding_attach(t: Tables):
 def _wide_sql() -> str:
     """The wide idea rows: per idea the first value of each category, moved left."""
     def first(value: str, test: str = "true") -> str:
-        return (f"arg_min({value}, {{'a': field_id, 'b': {value}}}) "
+        tie = "answer" if value == "vector" else value
+        return (f"arg_min({value}, {{'a': field_id, 'b': {tie}}}) "
                 f"FILTER ({value} IS NOT NULL AND {test})")
 
     def family(kind: str, value: str) -> str:
@@ -237,7 +239,8 @@ SELECT row_number() OVER (ORDER BY idea_id) AS id, idea_id AS idea_db_id, tag_na
   TIMESTAMP '2024-05-01' AS valid_from, TIMESTAMP '2262-04-11 23:47:16.854775' AS valid_to,
   true AS is_current FROM wide""")
 def ideas_wide(t: Tables):
-    dimension, _ = _load_ideas(t)
+    dimension = ideas.idea_dimension_rows(
+        _wide(t), _empty(t, "id long, idea_db_id long"), RUN)
     columns = [c for c in dimension.columns
                if c not in ("tag_description", "is_private", "like_ideas_count",
                             "average_general")]
@@ -246,10 +249,11 @@ def ideas_wide(t: Tables):
         for c in columns])
 
 
-def _load_ideas(t: Tables):
-    return ideas.load_ideas(
-        _all_answers(t), _class_table(t), t.text_vectors, t.ideas, t.tags, t.ideas_tags,
-        _empty(t, "id long, idea_db_id long"), t.dim_company, t.dim_goals, RUN)
+def _wide(t: Tables):
+    answers = _landed_answers(t)
+    return ideas.wide_ideas(
+        ideas.categorised_answers(answers, _class_table(t, answers)), t.text_vectors,
+        idea_attributes(t.ideas, t.tags, t.ideas_tags))
 
 
 @query(f"""WITH {_wide_sql()}
@@ -258,7 +262,7 @@ SELECT idea_id AS idea_db_id, coalesce(c.id, 0) AS company_id, coalesce(g.id, 0)
 FROM wide LEFT JOIN dim_company c ON c.company_db_id = company_id
 LEFT JOIN dim_goals g ON g.goal_db_id = goal_id""")
 def submission_stage(t: Tables):
-    return _load_ideas(t)[1]
+    return ideas.submission_stage(_wide(t), t.dim_company, t.dim_goals)
 
 
 SQL_FACT = f"""{DIM_IDEA}, {DIM_USERS}, {CONTRIBUTIONS},

@@ -84,9 +84,10 @@ def reverse_lookup(t: Tables):
     fact = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", F.col("o_custkey").alias("goal_id"),
         (F.col("c_nationkey") + 100).alias("company_id"))
-    goal = look_up(fact, t.dim_goals, {"goal_id": "id"}, "goal_db_id", "goal_db_id")
+    goal = look_up(fact, t.dim_goals, {"goal_id": "id"}, "goal_db_id", "goal_db_id",
+                   unique=True)
     company = look_up(goal, t.dim_company, {"company_id": "id"}, "company_db_id",
-                      "company_db_id")
+                      "company_db_id", unique=True)
     return company.where("goal_db_id IS NOT NULL").select(
         "o_orderkey", "goal_db_id", "company_db_id")
 

@@ -35,13 +35,17 @@ SQL_LINE = (f"substr(replace(replace(trim(regexp_replace(text, '{SQL_SPACE}', '
 
 
 @query(r"""SELECT doc_id, regexp_replace(text, '[^\x09\x0A\x0D\x20-\x7EÁÉÍÓÚáéíóú]', '', 'g')
-  AS text, regexp_replace(source, '[^\x09\x0A\x0D\x20-\x7EÁÉÍÓÚáéíóú]', '', 'g') AS source,
-  regexp_replace(text, '[^\x09\x0A\x0D\x20-\x7EÁÉÍÓÚáéíóúñç]', '', 'g') AS wider
+  AS text, regexp_replace(source, '[^\x09\x0A\x0D\x20-\x7EÁÉÍÓÚáéíóú]', '', 'g') AS source
 FROM documents""")
 def keep_list_clean(t: Tables):
-    rows = t.documents.select("doc_id", "text", "source")
-    wider = rows.select("doc_id", keep_listed(F.col("text"), "ñç").alias("wider"))
-    return keep_listed_columns(rows).join(wider, "doc_id")
+    return keep_listed_columns(t.documents.select("doc_id", "text", "source"))
+
+
+@query(r"""SELECT conv_id, turn, regexp_replace(text, '[^\x09\x0A\x0D\x20-\x7EÁÉÍÓÚáéíóúñçèê]',
+  '', 'g') AS text FROM conversations""")
+def keep_list_with_more(t: Tables):
+    return t.conversations.select(
+        "conv_id", "turn", keep_listed(F.col("text"), "ñçèê").alias("text"))
 
 
 @query(f"""SELECT doc_id, {SQL_LINE} AS line, substr(trim(regexp_replace(text, '{SQL_SPACE}', ' ',

@@ -13,8 +13,7 @@ from ideamill.operators.clustering import (
 from ideamill.operators.quality import (
     elbow_sweep, project_2d, silhouette, silhouette_sweep, within_sum_of_squares,
 )
-from ideamill.settings import scratch_path
-from ideamill.sources.tables import read_table
+from ideamill.sources.tables import written
 from registry.base import new_registry
 from registry.stand_ins import Tables
 
@@ -128,10 +127,9 @@ SELECT vec_id, company_id, arg_min(cluster, gap) AS cluster, round(min(gap), 6)
 def assign_nearest_centroid(t: Tables):
     """Centroids are saved as a table, read again, and every vector gets the nearest one."""
     rows = _labelled(t)
-    path = scratch_path(t.spark, "centroids")
-    centroids(rows, "company_id", "cluster", "vector").write.parquet(path)
-    found = assign_nearest(rows.drop("cluster"), read_table(t.spark, path), "company_id",
-                           "cluster", "vector", block=32)
+    saved = written(centroids(rows, "company_id", "cluster", "vector"), "centroids")
+    found = assign_nearest(rows.drop("cluster"), saved, "company_id", "cluster", "vector",
+                           block=32)
     return found.select("vec_id", "company_id", "cluster",
                         F.round("distance_centroid", 6).alias("distance_centroid"))
 
@@ -165,23 +163,23 @@ def elbow_by_count(t: Tables):
     return elbow_sweep(_points(t), "vector")
 
 
-SQL_SILHOUETTE = """points AS (SELECT vec_id, CASE WHEN embedding[1] > 0.05 THEN 2
-  WHEN embedding[1] > -0.05 THEN 1 ELSE 0 END AS cluster, embedding::DOUBLE[] AS v
-  FROM embeddings),
-pairs AS (SELECT a.vec_id, a.cluster AS own, b.cluster AS other, list_sum(list_transform(
-  list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS gap
-  FROM points a JOIN points b ON a.vec_id <> b.vec_id),
-means AS (SELECT vec_id, own, other, avg(gap) AS g FROM pairs GROUP BY ALL),
-sides AS (SELECT vec_id, own, min(g) FILTER (own = other) AS inside,
+SQL_SILHOUETTE = """points AS (SELECT vec_id, CAST(label AS BIGINT) AS company_id,
+  CASE WHEN embedding[1] > 0.05 THEN 2 WHEN embedding[1] > -0.05 THEN 1 ELSE 0 END AS cluster,
+  embedding::DOUBLE[] AS v FROM embeddings),
+pairs AS (SELECT a.vec_id, a.company_id, a.cluster AS own, b.cluster AS other,
+  list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS gap
+  FROM points a JOIN points b ON a.company_id = b.company_id AND a.vec_id <> b.vec_id),
+means AS (SELECT vec_id, company_id, own, other, avg(gap) AS g FROM pairs GROUP BY ALL),
+sides AS (SELECT vec_id, company_id, own, min(g) FILTER (own = other) AS inside,
   min(g) FILTER (own <> other) AS outside FROM means GROUP BY ALL)"""
 
 
-@query(f"""WITH {SQL_SILHOUETTE} SELECT vec_id, own AS cluster,
-  round((outside - inside) / greatest(outside, inside), 5) AS silhouette FROM sides""")
+@query(f"""WITH {SQL_SILHOUETTE} SELECT vec_id, company_id, own AS cluster, CASE WHEN inside IS NULL
+  THEN 0.0 ELSE round((outside - inside) / greatest(outside, inside), 5) END AS silhouette
+FROM sides""")
 def silhouette_fixed_labels(t: Tables):
-    whole = _labelled(t).withColumn("company_id", F.lit(1).cast("long"))
-    return silhouette(whole, "company_id", "cluster", "vector", block=64).select(
-        "vec_id", "cluster", F.round("silhouette", 5).alias("silhouette"))
+    return silhouette(_labelled(t), "company_id", "cluster", "vector", block=20).select(
+        "vec_id", "company_id", "cluster", F.round("silhouette", 5).alias("silhouette"))
 
 
 @query()
