@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ideamill.functions.text import (
     PROMPT_LINE, fill_template, flatten_label_ideas, parse_label_answer, prompt_text,
 )
-from ideamill.operators.numbering import carry_forward, running_number
+from ideamill.operators.numbering import running_number, values_before
 from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, shared_folder
 
 
@@ -65,10 +65,7 @@ def prompts(texts: DataFrame, group: list[str], first: str, following: str,
     """
     if labels is None:
         return texts.withColumn("prompt", fill_template(first, ideas=F.col("ideas")))
-    carried = carry_forward(
-        labels.select(*group, "chunk", "cluster_name", "cluster_description"), group,
-        ["cluster_name", "cluster_description"])
-    carried = carried.drop("cluster_name", "cluster_description")
+    carried = values_before(labels, group, ["cluster_name", "cluster_description"])
     joined = texts.join(carried, [*group, "chunk"], "left")
     later = fill_template(
         following, ideas=F.col("ideas"), cluster_name=F.col("previous_cluster_name"),

@@ -134,14 +134,19 @@ def first_groups(df: DataFrame, group: list[str], n: int) -> DataFrame:
     return df.join(first, group, "left_semi")
 
 
+def values_before(answers: DataFrame, group: list[str], values: list[str],
+                  chunk: str = "chunk") -> DataFrame:
+    """``previous_<value>`` of each chunk, keyed by group and the chunk after it."""
+    return answers.select(
+        *group, (F.col(chunk) + 1).alias(chunk),
+        *[F.col(v).alias(f"previous_{v}") for v in values])
+
+
 def carry_forward(answers: DataFrame, group: list[str], values: list[str],
                   chunk: str = "chunk") -> DataFrame:
     """Add ``previous_<value>``: the value of the chunk before, NULL for the first.
 
     An equi-join on group and chunk, so that a group with many chunks is spread out.
     """
-    before = answers.select(
-        *group, (F.col(chunk) + 1).alias(chunk),
-        *[F.col(v).alias(f"previous_{v}") for v in values],
-    )
-    return answers.join(before, [*group, chunk], "left")
+    return answers.join(
+        values_before(answers, group, values, chunk), [*group, chunk], "left")

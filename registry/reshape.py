@@ -88,7 +88,7 @@ def rank_pivot_users(t: Tables):
     return rank_pivot(ranked, "idea_id", "user_num", "user_key", "user_id")
 
 
-@query(f"""WITH {RANKED} SELECT idea_id, 0 AS cell,
+@query(f"""WITH {RANKED} SELECT idea_id, CAST(0 AS BIGINT) AS cell,
   '{{' || coalesce(string_agg('"user_id_' || user_num || '":' || user_key, ',' ORDER BY user_num)
     FILTER (user_key IS NOT NULL), '') || '}}' AS users
 FROM ranked GROUP BY idea_id""")

@@ -93,7 +93,8 @@ class Tables:
             F.col("embedding").cast("array<double>").alias("vector"))
 
 
-DIM_COMPANY = """dim_company AS (SELECT n_nationkey + 100 AS id, n_nationkey AS company_db_id
+DIM_COMPANY = """dim_company AS (SELECT CAST(n_nationkey + 100 AS BIGINT) AS id,
+  CAST(n_nationkey AS BIGINT) AS company_db_id
   FROM nation WHERE n_regionkey <> 4)"""
 DIM_USERS = """dim_users AS (SELECT s_suppkey + 1000 AS id, s_suppkey AS user_db_id
   FROM supplier WHERE s_acctbal >= 1000)"""
