@@ -70,7 +70,7 @@ def test_hot_key_of_a_lookup_is_split(spark, hot, no_broadcast):
     table = spark.range(ROWS).select(F.col("id").alias("key"), (F.col("id") + 7).alias("x"))
     found = look_up(rows, table, {"k": "key"}, "x", "x", unique=True)
     total = found.agg(F.count("*"), F.sum(F.when(F.col("x") == 7, 1)), F.max("text"))
-    assert total.first()[:2] == (ROWS, ROWS // 3)
+    assert total.collect()[0][:2] == (ROWS, ROWS // 3)
     assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
 
 
