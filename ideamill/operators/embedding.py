@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ideamill.functions.text import category_in, newline_to_space
 from ideamill.functions.values import field_description, not_blank
+from ideamill.operators.lookup import new_records
 from ideamill.operators.numbering import number_categories
 from ideamill.operators.reshape import keep_first
 from ideamill.settings import shared_folder
@@ -61,7 +62,7 @@ def unseen_texts(df: DataFrame, text: str, vectors: DataFrame) -> DataFrame:
                 newline_to_space(F.col(text)).alias("text"))
         .groupBy("digest").agg(F.first("text").alias("text"))
     )
-    return texts.join(vectors.select("digest"), "digest", "left_anti")
+    return new_records(texts, vectors, "digest")
 
 
 def embed_texts(texts: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:

@@ -11,7 +11,7 @@ from ideamill.functions.text import (
     PROMPT_LINE, fill_template, flatten_label_ideas, parse_label_answer, prompt_text,
 )
 from ideamill.operators.numbering import running_number, values_before
-from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, shared_folder
+from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, shared_folder, task_count
 
 
 def description_or_solution(solution: Column, description: Column) -> Column:
@@ -105,8 +105,8 @@ def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
                                 "answer": replies})
 
     shared_folder(texts.sparkSession)
-    placed = texts.select(*group, "chunk", "ideas").repartition(*group).sortWithinPartitions(
-        *group, "chunk")
+    placed = texts.select(*group, "chunk", "ideas").repartition(
+        task_count(texts.sparkSession), *group).sortWithinPartitions(*group, "chunk")
     # Written once: later steps read the answers several times, the model is asked once.
     return placed.mapInPandas(
         ask, ", ".join([*keys, "chunk long", "answer string"])).checkpoint()

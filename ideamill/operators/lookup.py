@@ -1,7 +1,8 @@
 """Joins on business keys.
 
 No join carries a broadcast hint: the sides grow with the data, so Spark picks the join from
-their sizes, and adaptive execution splits a hot key of the left side.
+their sizes, and adaptive execution splits a hot key of the left side. The right sides are made
+unique before they are joined, which also combines their hot keys map-side.
 """
 
 from __future__ import annotations
@@ -15,13 +16,25 @@ from pyspark.sql import functions as F
 def new_records(source: DataFrame, loaded: DataFrame, keys: str | list[str]) -> DataFrame:
     """Rows whose key is not in the loaded table (a NULL key counts as new)."""
     keys = [keys] if isinstance(keys, str) else keys
-    return source.join(loaded.select(*keys), keys, "left_anti")
+    return source.join(loaded.select(*keys).distinct(), keys, "left_anti")
 
 
 def known_rows(source: DataFrame, known: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows whose key is in the known table."""
     keys = known.select(*[F.col(theirs).alias(ours) for ours, theirs in on.items()])
-    return source.join(keys, list(on), "left_semi")
+    return source.join(keys.distinct(), list(on), "left_semi")
+
+
+def left_join_many(left: DataFrame, right: DataFrame, keys: str | list[str]) -> DataFrame:
+    """Left join with a right side of many rows per key.
+
+    An outer join cannot split a hot key of its right side. The inner join can, on both sides;
+    the rows of the left side without a match are added to it.
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    matched = left.join(right, keys)
+    alone = new_records(left, right, keys)
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def unique_lookup(lookup: DataFrame, keys: list[str], value: str, order: str | None = None

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ideamill.settings import (
-    CHUNK_ROWS, EXPORT_BATCH, HOT_GROUP_ROWS, NUMBERED_CATEGORIES, shared_folder,
+    CHUNK_ROWS, EXPORT_BATCH, HOT_GROUP_ROWS, NUMBERED_CATEGORIES, shared_folder, task_count,
 )
 
+COPY_BLOCK = 10_000  # equal rows written out by one task at a time
 PLACE_BITS = 33  # monotonically_increasing_id: the partition is above bit 33
 
 
@@ -34,15 +35,25 @@ def _placed(df: DataFrame, order: list[str]) -> DataFrame:
 
 def _numbered_by_ranges(df: DataFrame, group: list[str], order: list[str],
                         name: str) -> DataFrame:
-    placed = _placed(df, group + order)
-    inside = Window.partitionBy(*group, "_range").orderBy("_place")
-    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(
+    ties = df.groupBy(*group, *order).count().where(F.col("count") > COPY_BLOCK)
+    tied = not ties.isEmpty()
+    if tied:
+        # No range can split equal keys: the other columns decide, and rows that are equal in
+        # all columns are merged, counted and written out again at the end.
+        order = order + [c for c in df.columns if c not in group + order]
+        source = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    else:
+        source = df.withColumn("_copies", F.lit(1).cast("long"))
+    placed = _placed(source, group + order)
+    earlier_places = Window.partitionBy(*group, "_range").orderBy("_place").rowsBetween(
+        Window.unboundedPreceding, -1)
+    earlier_ranges = Window.partitionBy(*group).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1)
     # Only the first group of a range can have rows in earlier ranges, so this table has at
     # most one row per range and is safe to broadcast.
     before = (
-        placed.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(earlier))
+        placed.groupBy(*group, "_range").agg(F.sum("_copies").alias("_n"))
+        .withColumn("_before", F.sum("_n").over(earlier_ranges))
         .where("_before > 0")
         .select(*[F.col(g).alias(f"_g_{g}") for g in group],
                 F.col("_range").alias("_r"), "_before")
@@ -50,12 +61,28 @@ def _numbered_by_ranges(df: DataFrame, group: list[str], order: list[str],
     same = F.col("_range") == F.col("_r")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return (
-        placed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(before), same, "left")
-        .select(*df.columns, (F.col("_inside") + F.coalesce("_before", F.lit(0)))
-                .cast("long").alias(name))
+    inside = F.coalesce(F.sum("_copies").over(earlier_places), F.lit(0))
+    started = (
+        placed.withColumn("_inside", inside).join(F.broadcast(before), same, "left")
+        .select(*df.columns, "_copies",
+                (F.col("_inside") + F.coalesce("_before", F.lit(0))).alias("_start"))
     )
+    if tied:
+        return _spread_copies(started, df.columns, name)
+    return started.select(*df.columns, (F.col("_start") + 1).cast("long").alias(name))
+
+
+def _spread_copies(started: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """One row per copy, numbered from ``_start`` + 1; many copies go over many tasks."""
+    # A fixed number of tasks: a block is small before it is written out.
+    whole = started.withColumn("_block", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPY_BLOCK)))
+    ).repartition(task_count(started.sparkSession), "_start", "_block")
+    first = F.col("_block") * COPY_BLOCK + 1
+    last = F.least(F.col("_copies"), (F.col("_block") + 1) * COPY_BLOCK)
+    copies = F.explode(F.sequence(first, last)).alias("_copy")
+    return whole.select(*columns, "_start", copies).select(
+        *columns, (F.col("_start") + F.col("_copy")).cast("long").alias(name))
 
 
 def running_number(df: DataFrame, group: list[str], order: list[str], name: str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ideamill.operators.lookup import known_rows, left_join_many
 from ideamill.operators.reshape import first_non_null
 
 
@@ -25,32 +26,30 @@ def answers_with_fields(answers: DataFrame, fields: DataFrame, ideas: DataFrame)
 def answers_of_companies(answers: DataFrame, fields: DataFrame, ideas: DataFrame,
                          companies: DataFrame) -> DataFrame:
     """Answers of all known companies in one join; the fields are cut down first."""
-    known = companies.select(F.col("company_db_id").alias("company_id"))
-    return answers_with_fields(answers, fields.join(known, "company_id", "left_semi"), ideas)
+    known = known_rows(fields, companies, {"company_id": "company_db_id"})
+    return answers_with_fields(answers, known, ideas)
 
 
 def answered_fields(fields: DataFrame, answers: DataFrame) -> DataFrame:
     """Fields with at least one answer."""
-    given = answers.select(F.col("company_form_field_id").alias("id"))
-    return fields.join(given, "id", "left_semi")
+    return known_rows(fields, answers, {"id": "company_form_field_id"})
 
 
 def answer_counts(fields: DataFrame, answers: DataFrame) -> DataFrame:
-    """Answers per field, the least answered first."""
-    given = answers.select(F.col("company_form_field_id").alias("id"))
-    return fields.join(given, "id").groupBy("id").agg(F.count("*").alias("n_answers")).orderBy(
-        "n_answers", "id")
+    """Answers per field, the least answered first. Counted before the join."""
+    counts = answers.groupBy(F.col("company_form_field_id").alias("id")).agg(
+        F.count("*").alias("n_answers"))
+    return fields.select("id").join(counts, "id").orderBy("n_answers", "id")
 
 
 def forms_of_company(companies: DataFrame, forms: DataFrame, fields: DataFrame,
                      answers: DataFrame, company: int, form_type: int = 0) -> DataFrame:
     """All fields of the company's forms of one type that hold an answered field."""
-    chosen = companies.where(F.col("id") == company).select(F.col("id").alias("company_id"))
-    own = forms.where(F.col("form_type") == form_type).join(chosen, "company_id", "left_semi")
-    used = answered_fields(fields.join(chosen, "company_id", "left_semi"), answers)
-    with_answers = own.select(F.col("id").alias("form_id")).join(
-        used.select("form_id"), "form_id", "left_semi")
-    return fields.join(with_answers, "form_id", "left_semi").select(
+    chosen = companies.where(F.col("id") == company)
+    own = known_rows(forms.where(F.col("form_type") == form_type), chosen, {"company_id": "id"})
+    used = answered_fields(known_rows(fields, chosen, {"company_id": "id"}), answers)
+    with_answers = known_rows(own, used, {"id": "form_id"})
+    return known_rows(fields, with_answers, {"form_id": "id"}).select(
         "company_id", "form_id", F.col("id").alias("field_id"),
         F.col("title").alias("field_title"), F.col("description").alias("field_description"))
 
@@ -61,7 +60,7 @@ WITH chosen AS (
 ), used AS (
   SELECT id, form_id FROM {fields}
   WHERE company_id IN (SELECT company_id FROM chosen)
-    AND id IN (SELECT company_form_field_id FROM {answers})
+    AND id IN (SELECT DISTINCT company_form_field_id FROM {answers})
 ), definition AS (
   SELECT company_id, form_id, id AS field_id, title AS field_title,
          description AS field_description
@@ -69,7 +68,7 @@ WITH chosen AS (
   WHERE form_id IN (
     SELECT id FROM {forms}
     WHERE form_type = :form_type AND company_id IN (SELECT company_id FROM chosen)
-      AND id IN (SELECT form_id FROM used))
+      AND id IN (SELECT DISTINCT form_id FROM used))
 ), given AS (
   SELECT a.idea_id, f.id AS field_id, a.answer AS field_answer
   FROM {answers} a JOIN {fields} f ON a.company_form_field_id = f.id
@@ -102,15 +101,15 @@ def objectives_with_packages(objectives: DataFrame, packages: DataFrame) -> Data
 
 def users_of_areas(users: DataFrame, areas: DataFrame) -> DataFrame:
     """Every area with its users; an area without users gives one row."""
-    area = areas.select(F.col("id").alias("_area"), F.col("name").alias("area"))
-    return users.join(area, F.col("area_id") == F.col("_area"), "right").drop("_area")
+    area = areas.select(F.col("id").alias("area_id"), F.col("name").alias("area"))
+    return left_join_many(area, users, "area_id")
 
 
-def _tagged(tags: DataFrame, ideas_tags: DataFrame, how: str) -> DataFrame:
+def _tagged(tags: DataFrame, ideas_tags: DataFrame) -> DataFrame:
     tag = tags.select(
         F.col("id").alias("tag_id"), F.col("name").alias("tag_name"),
         F.col("description").alias("tag_description"), "tag_type")
-    return tag.join(ideas_tags.select("tag_id", "idea_id"), "tag_id", how)
+    return tag.join(ideas_tags.select("tag_id", "idea_id"), "tag_id")
 
 
 def _idea_columns(ideas: DataFrame) -> DataFrame:
@@ -121,8 +120,7 @@ def _idea_columns(ideas: DataFrame) -> DataFrame:
 
 def idea_metadata(ideas: DataFrame, tags: DataFrame, ideas_tags: DataFrame) -> DataFrame:
     """Ideas with their tags, one row per tag; an untagged idea keeps one row."""
-    tagged = _tagged(tags, ideas_tags, "left")
-    return tagged.join(_idea_columns(ideas), "idea_id", "right").distinct()
+    return left_join_many(_idea_columns(ideas), _tagged(tags, ideas_tags), "idea_id").distinct()
 
 
 def idea_attributes(ideas: DataFrame, tags: DataFrame, ideas_tags: DataFrame) -> DataFrame:
@@ -132,6 +130,6 @@ def idea_attributes(ideas: DataFrame, tags: DataFrame, ideas_tags: DataFrame) ->
     join, so that neither ideas nor answers are repeated per tag.
     """
     first = first_non_null(
-        _tagged(tags, ideas_tags, "inner"), ["idea_id"],
+        _tagged(tags, ideas_tags), ["idea_id"],
         ["tag_name", "tag_description", "tag_type"], ["tag_id"])
     return _idea_columns(ideas).join(first, "idea_id", "left")

@@ -78,6 +78,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks of a shuffle that must not be merged because its rows are small."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

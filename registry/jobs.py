@@ -357,9 +357,7 @@ def vector_export_new(t: Tables):
     return _records(t, exported)
 
 
-@query()
-def clusters_labelled(t: Tables):
-    """Cluster the ideas of each company and label every chunk by a function of its prompt."""
+def _clusters_labelled(t: Tables):
     dim_idea, fact, columns = _vector_ideas(t)
     loaded = _empty(t, schemas.PARAM_CLUSTERED_IDEAS)
     found = clusters.clustered_ideas(
@@ -387,6 +385,22 @@ def clusters_labelled(t: Tables):
     return clusters.labelled_rows(chunked, answers, dim_idea, loaded)
 
 
+@query()
+def clusters_labelled(t: Tables):
+    """Cluster the ideas of each company and label every chunk by a function of its prompt."""
+    return _clusters_labelled(t)
+
+
+@query("""SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id AS idea_id, vec_id + 100 AS idea_db_id,
+  CAST(label + 100 AS BIGINT) AS company_id, vec_id + 10 AS goal_id,
+  'New Idea ' || vec_id AS idea_c_name, 'Short' AS idea_c_description, 'Text'
+    AS cluster_description FROM embeddings WHERE label <> 9""")
+def clusters_labelled_ideas(t: Tables):
+    """The part of the labelled ideas that does not depend on the cluster they fell into."""
+    return _clusters_labelled(t).drop(
+        "cluster_number", "distance_centroid", "cluster_name", "final_cluster_name")
+
+
 @query(DIMENSION_COMPANIES.replace("id, *\nFROM rows", "id, *, CAST(CASE WHEN company_name = "
        "'Sin nombre' THEN 1 ELSE 0 END AS BIGINT) AS load_batch\nFROM rows")
        .replace("row_number() OVER (ORDER BY company_db_id)",

@@ -8,7 +8,7 @@ from ideamill.functions.values import (
     known_key, normalise_missing, not_blank, timestamp_or, without_time_zone,
 )
 from ideamill.operators.lookup import (
-    known_rows, left_join_on, look_up, new_records,
+    known_rows, left_join_many, left_join_on, look_up, new_records,
 )
 from ideamill.operators.numbering import first_groups
 from ideamill.plans import forms
@@ -148,7 +148,7 @@ SELECT a.idea_id, a.company_form_field_id AS field_id, tag_id, tag_name, stage
 FROM answers a LEFT JOIN metadata USING (idea_id)""")
 def answers_with_metadata(t: Tables):
     metadata = forms.idea_metadata(t.ideas, t.tags, t.ideas_tags)
-    return t.answers.join(metadata, "idea_id", "left").select(
+    return left_join_many(t.answers, metadata, "idea_id").select(
         "idea_id", F.col("company_form_field_id").alias("field_id"), "tag_id", "tag_name",
         "stage")
 
@@ -160,7 +160,7 @@ def dim_fact_left(t: Tables):
     fact = t.lineitem.where("l_returnflag = 'A'").select(
         F.col("l_orderkey").alias("idea_db_id"), F.col("l_suppkey").alias("company_id"),
         F.col("l_partkey").alias("goal_id"))
-    return t.dim_idea.join(fact, "idea_db_id", "left").select(
+    return left_join_many(t.dim_idea, fact, "idea_db_id").select(
         "id", "idea_db_id", "company_id", "goal_id")
 
 
@@ -253,7 +253,7 @@ def two_table_inner(t: Tables):
         "id", "name", "objectives_package_id", "company_id", "package_name")
 
 
-@query("""SELECT c_custkey AS id, c_name AS first_name, c_nationkey AS area_id, n_name AS area
+@query("""SELECT c_custkey AS id, c_name AS first_name, n_nationkey AS area_id, n_name AS area
 FROM (SELECT * FROM customer WHERE c_acctbal > 9000) RIGHT JOIN nation
 ON n_nationkey = c_nationkey""")
 def users_of_areas(t: Tables):

@@ -140,6 +140,28 @@ def grouped_kmeans(t: Tables):
     return cluster_groups(_points(t), "company_id", "vector").drop("vector")
 
 
+@query("""SELECT CAST(label AS BIGINT) AS company_id, count(*) AS n_ideas,
+  greatest(1, CAST(round_even(count(*) / 10, 0) AS BIGINT)) AS n_clusters,
+  CAST(0 AS DOUBLE) AS distance_error, CAST(0 AS BIGINT) AS not_nearest
+FROM embeddings GROUP BY label""")
+def grouped_kmeans_invariants(t: Tables):
+    """Whatever the labels: every idea is in the cluster of its nearest centroid, centroids are
+    the means of their clusters, and the number of clusters follows the rule."""
+    found = written(cluster_groups(_points(t), "company_id", "vector"), "clusters")
+    saved = written(centroids(found, "company_id", "cluster_number", "vector"), "centroids")
+    again = distance_to_centroid(
+        found, saved, "company_id", "cluster_number", "vector", "to_mean")
+    nearest = assign_nearest(
+        again.withColumnRenamed("cluster_number", "fitted")
+        .withColumnRenamed("distance_centroid", "distance_fitted"),
+        saved, "company_id", "cluster_number", "vector")
+    gap = F.abs(F.col("distance_fitted") - F.col("to_mean"))
+    return nearest.groupBy("company_id").agg(
+        F.count("*").alias("n_ideas"), F.count_distinct("fitted").alias("n_clusters"),
+        F.round(F.max(gap), 6).alias("distance_error"),
+        F.sum((F.col("fitted") != F.col("cluster_number")).cast("long")).alias("not_nearest"))
+
+
 @query()
 def grouped_kmeans_in_cells(t: Tables):
     """One company holding all rows, clustered in cells of bounded size."""
