@@ -72,6 +72,26 @@ def text_to_date(column: Column) -> Column:
     return F.to_date(F.try_to_timestamp(column))
 
 
+def day_of(df: DataFrame, column: str) -> Column:
+    """Day of a column that holds epoch milliseconds, date text or a timestamp."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        return epoch_ms_to_date(F.col(column))
+    if isinstance(kind, T.StringType):
+        return text_to_date(F.col(column))
+    return F.to_date(column)
+
+
+def moment_of(df: DataFrame, column: str) -> Column:
+    """Timestamp of a column that holds epoch milliseconds, date text or a timestamp."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        return epoch_ms_to_timestamp(F.col(column))
+    if isinstance(kind, T.StringType):
+        return F.try_to_timestamp(F.col(column))
+    return F.col(column).cast("timestamp")
+
+
 def without_time_zone(column: Column) -> Column:
     return column.cast("timestamp_ntz")
 

@@ -8,29 +8,18 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ideamill.functions.values import company_name, epoch_ms_to_date, text_to_date
+from ideamill.functions.values import company_name, day_of
 from ideamill.operators.history import validity
 from ideamill.operators.lookup import look_up, new_records
 from ideamill.operators.numbering import surrogate_keys
 from ideamill.operators.reshape import keep_first
 
 
-def to_day(df: DataFrame, column: str) -> Column:
-    """Day of a date column that holds epoch milliseconds, text or a timestamp."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.IntegralType):
-        return epoch_ms_to_date(F.col(column))
-    if isinstance(kind, T.StringType):
-        return text_to_date(F.col(column))
-    return F.to_date(column)
-
-
 def _days(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: to_day(df, c) for c in columns})
+    return df.withColumns({c: day_of(df, c) for c in columns})
 
 
 def company_rows(source: DataFrame, loaded: DataFrame, run: date) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ideamill import schemas
 from ideamill.functions.text import keep_listed_columns
 from ideamill.functions.values import (
-    compact_left, known_key, normalise_missing, timestamp_or,
+    compact_left, known_key, moment_of, normalise_missing, timestamp_or,
 )
 from ideamill.functions.vectors import vector_to_text
 from ideamill.operators.embedding import attach_vectors, classify_by_keywords, classify_fields
@@ -79,7 +79,7 @@ def idea_dimension_rows(wide: DataFrame, loaded: DataFrame, run: datetime,
                         vectors_as_text: bool = False) -> DataFrame:
     """Rows to append to the idea dimension."""
     rows = validity(wide, run, open_end=MAX_TIMESTAMP).withColumns({
-        c: timestamp_or(F.col(c).cast("timestamp")) for c in ("created_at", "updated_at")})
+        c: timestamp_or(moment_of(wide, c)) for c in ("created_at", "updated_at")})
     if vectors_as_text:
         rows = rows.withColumns({
             c: vector_to_text(F.col(c)) for c in schemas.VECTOR_COLUMNS})
@@ -102,7 +102,7 @@ def submission_stage(wide: DataFrame, companies: DataFrame, goals: DataFrame) ->
     return with_goal.select(
         "idea_db_id", known_key(F.col("_company")).alias("company_id"),
         known_key(F.col("_goal")).alias("goal_id"),
-        timestamp_or(F.col("submitted_at").cast("timestamp")).alias("submitted_at"))
+        timestamp_or(moment_of(wide, "submitted_at")).alias("submitted_at"))
 
 
 def load_ideas(answers: DataFrame, class_table: DataFrame, vectors: DataFrame,

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from ideamill import schemas
 from ideamill.operators.embedding import (
-    attach_vectors, classify_fields, embed_texts, unseen_texts,
+    attach_vectors, classify_fields, embed_texts, text_digest, unseen_texts,
 )
 from ideamill.operators.labels import chunk_texts, live_answers
+from ideamill.operators.lookup import new_records
 from ideamill.plans import clusters, dimensions, export, facts, ideas
 from ideamill.plans.forms import idea_attributes
 from ideamill.settings import scratch_path
@@ -175,16 +176,15 @@ def field_classification_by_model(t: Tables):
 @query(f"""WITH {ANSWERS}, distinct_texts AS (SELECT DISTINCT answer FROM answers
   WHERE trim(answer) NOT IN ('', 'None')),
 known AS (SELECT 'answer ' || vec_id AS answer, round(embedding[1]::DOUBLE, 6) AS first
-  FROM embeddings WHERE vec_id < 20 OR vec_id > 40),
+  FROM embeddings WHERE label < 5),
 embedded AS (SELECT answer, coalesce(first, CAST(length(answer) AS DOUBLE)) AS first
   FROM distinct_texts LEFT JOIN known USING (answer))
 SELECT a.idea_id, a.company_form_field_id AS field_id, e.first
 FROM answers a LEFT JOIN embedded e USING (answer)""")
 def embedding_attach(t: Tables):
-    """Texts 20 to 40 have no vector yet and get one from the caller's function."""
-    cache = t.text_vectors.join(
-        t.embeddings.where("vec_id BETWEEN 20 AND 40").selectExpr(
-            "sha2(concat('answer ', vec_id), 256) AS digest"), "digest", "left_anti")
+    """The texts of half of the labels have no vector yet and get one from the caller."""
+    cache = new_records(t.text_vectors, t.embeddings.where("label >= 5").select(
+        text_digest(F.concat(F.lit("answer "), F.col("vec_id"))).alias("digest")), "digest")
     new = unseen_texts(t.answers, "answer", cache)
     made = embed_texts(new, lambda text: F.array_repeat(F.length(text).cast("double"), 64))
     table = written(cache.unionByName(made), "vectors")

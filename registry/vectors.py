@@ -79,10 +79,10 @@ def mean_valid_vectors(t: Tables):
 
 @query("""SELECT label AS company_id, count(DISTINCT n) AS n_sizes, min(n) AS min_size,
   max(n) AS max_size, count(DISTINCT n) <= 1 AS is_consistent
-FROM (SELECT CAST(label AS BIGINT) AS label, CASE WHEN label > 6 AND vec_id > 100 THEN 10
+FROM (SELECT CAST(label AS BIGINT) AS label, CASE WHEN label > 6 AND embedding[1] > 0 THEN 10
   ELSE CAST(len(embedding) AS BIGINT) END AS n FROM embeddings) GROUP BY label""")
 def vector_dim_check(t: Tables):
-    cut = F.when((F.col("company_id") > 6) & (F.col("vec_id") > 100),
+    cut = F.when((F.col("company_id") > 6) & (F.get("vector", F.lit(0)) > 0),
                  F.slice("vector", 1, 10)).otherwise(F.col("vector"))
     return vector_sizes(_points(t).withColumn("vector", cut), ["company_id"], "vector")
 

@@ -11,8 +11,8 @@ from ideamill.functions.text import (
     prompt_text, strip_fences,
 )
 from ideamill.functions.values import (
-    compact_left, ensure_columns, epoch_ms_to_date, known_key, normalise_missing, not_blank,
-    part_after, text_to_date, timestamp_or, word_at,
+    compact_left, day_of, ensure_columns, epoch_ms_to_date, known_key, moment_of,
+    normalise_missing, not_blank, part_after, text_to_date, timestamp_or, word_at,
 )
 from ideamill.functions.vectors import (
     distance, mean_of_valid, text_to_vector, vector_digest, vector_sizes, vector_to_text,
@@ -52,6 +52,17 @@ def test_known_key_and_dates(spark):
     assert late == ["2262-04-11 23:47:16.854775"]
 
 
+def test_moments_of_three_kinds(spark):
+    df = spark.createDataFrame(
+        [(1_700_000_000_123, "2023-11-14 22:13:20", datetime(2023, 11, 14, 22, 13, 20)),
+         (2**62, "soon", None)], "ms long, text string, ts timestamp")
+    found = df.select(*[moment_of(df, c) for c in df.columns]).collect()
+    assert [v.replace(microsecond=0) for v in found[0]] == [datetime(2023, 11, 14, 22, 13, 20)] * 3
+    assert tuple(found[1]) == (None, None, None)
+    days = df.select(*[day_of(df, c) for c in df.columns]).collect()
+    assert tuple(days[0]) == (date(2023, 11, 14),) * 3 and tuple(days[1]) == (None,) * 3
+
+
 def test_text_parts(spark):
     rows = [("https://x.com/raw/a.json",), ("raw/a.json",)]
     assert values(spark, rows, "a string", part_after(F.col("a"), ".com/")) == [
