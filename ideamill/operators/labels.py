@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ideamill.functions.text import (
     PROMPT_LINE, fill_template, flatten_label_ideas, parse_label_answer, prompt_text,
 )
-from ideamill.operators.numbering import running_number, values_before
-from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, shared_folder, task_count
+from ideamill.operators.numbering import chunk_number, values_before
+from ideamill.settings import (
+    CHAIN_CHUNKS, CHUNK_ROWS, HOT_GROUP_ROWS, shared_folder, task_count,
+)
 
 
 def description_or_solution(solution: Column, description: Column) -> Column:
@@ -22,11 +24,8 @@ def description_or_solution(solution: Column, description: Column) -> Column:
 def chunk_ideas(ideas: DataFrame, group: list[str], order: list[str], rows: int = CHUNK_ROWS,
                 hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Add ``index`` (place in the cluster), ``chunk`` and ``position`` (place in the chunk)."""
-    numbered = running_number(ideas, group, order, "_number", hot_rows)
-    place = F.col("_number") - 1
-    return numbered.withColumns({
-        "index": place, "chunk": F.floor(place / rows), "position": place % rows,
-    }).drop("_number")
+    chunked = chunk_number(ideas, group, order, rows, hot_rows)
+    return chunked.withColumn("index", F.col("chunk") * rows + F.col("position"))
 
 
 def prompt_line(position: str, index: str, name: str, description: str) -> Column:
@@ -77,11 +76,14 @@ def prompts(texts: DataFrame, group: list[str], first: str, following: str,
 
 def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
                  answer: Callable[[str], str],
-                 read_label: Callable[[str], tuple[str, str]]) -> DataFrame:
+                 read_label: Callable[[str], tuple[str, str]],
+                 chain: int | None = CHAIN_CHUNKS) -> DataFrame:
     """Ask the caller's model chunk by chunk; each prompt carries the label of the chunk before.
 
     Clusters are spread over the partitions and streamed in chunk order: a task holds one batch
-    and the last label, never a whole cluster.
+    and the last label, never a whole cluster. Since every answer waits for the one before, a
+    cluster of more than ``chain`` chunks goes on in a new chain, whose first prompt has no
+    label; None keeps even the largest cluster in one chain, and so in one task.
     """
     keys = [f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields
             if f.name in group]
@@ -93,7 +95,7 @@ def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
         for pdf in batches:
             replies = []
             for row in pdf.to_dict("records"):
-                key = tuple(row[g] for g in group)
+                key = tuple(row[g] for g in [*group, "_chain"])
                 if key != last_key:
                     last_key, label = key, None
                 text = first if label is None else following.replace(
@@ -105,8 +107,12 @@ def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
                                 "answer": replies})
 
     shared_folder(texts.sparkSession)
-    placed = texts.select(*group, "chunk", "ideas").repartition(
-        task_count(texts.sparkSession), *group).sortWithinPartitions(*group, "chunk")
+    number = F.floor(F.col("chunk") / chain) if chain else F.lit(0).cast("long")
+    placed = (
+        texts.select(*group, "chunk", "ideas", number.alias("_chain"))
+        .repartition(task_count(texts.sparkSession), *group, "_chain")
+        .sortWithinPartitions(*group, "chunk")
+    )
     # Written once: later steps read the answers several times, the model is asked once.
     return placed.mapInPandas(
         ask, ", ".join([*keys, "chunk long", "answer string"])).checkpoint()

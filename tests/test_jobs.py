@@ -10,6 +10,7 @@ from ideamill.operators.embedding import (
 )
 from ideamill.operators.labels import chunk_ideas, chunk_texts, label_ideas, live_answers, prompts
 from ideamill.plans import clusters, dimensions, export, ideas
+from ideamill.settings import scratch_path, shared_folder
 from ideamill.sources.tables import (
     read_records, read_sheet, read_table, write_records, write_sheet, write_stage,
 )
@@ -22,6 +23,14 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def test_the_folder_of_the_session_is_used(spark):
+    folder = shared_folder(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir", folder)
+    assert spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(folder)
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
 def test_company_rows(spark):
     source = spark.createDataFrame(
         [(1, "Old", True, 0, 0), (2, None, True, 1_700_000_000_000, None),
@@ -244,6 +253,11 @@ def test_live_model_is_asked_once_per_chunk_in_order(spark):
     assert names == {(4, i): "x" * (i + 1) for i in range(5)} | {(5, 0): "x", (5, 1): "xx"}
     found.count()
     assert asked.value == 7
+    chains = live_answers(chunk_texts(chunked, GROUP), GROUP, "first {ideas}",
+                          "next|{cluster_name}|{ideas}", model, label, chain=2)
+    names = {(r["cluster_number"], r["chunk"]): json.loads(r["answer"])["cluster_name"]
+             for r in chains.collect()}
+    assert [names[4, i] for i in range(5)] == ["x", "xx", "x", "xx", "x"]
 
 
 def test_vector_export_skips_exported(spark):
