@@ -12,7 +12,7 @@ from ideamill.functions.values import field_description, not_blank
 from ideamill.operators.lookup import new_records
 from ideamill.operators.numbering import number_categories
 from ideamill.operators.reshape import keep_first
-from ideamill.settings import shared_folder
+from ideamill.sources.tables import written
 
 # Keyword rules used when the caller gives no model. The first match decides.
 KEYWORD_RULES = (
@@ -40,12 +40,11 @@ def classify_fields(answers: DataFrame, order: list[str],
         answers.select("company_id", "field_id", "title", "description", *[
             c for c in order if c not in ("company_id", "field_id", "title", "description")]),
         ["field_id", "company_id"], order)
-    shared_folder(answers.sparkSession)
     # Written once: the numbering reads the rows twice, the model must see them once.
-    named = fields.select(
+    named = written(fields.select(
         "company_id", "field_id", F.col("title").alias("name"), "description",
         category_in(classify(F.col("title"), F.col("description"))).alias("category"),
-    ).checkpoint()
+    ), "fields")
     return number_categories(named, "company_id", "category", ["field_id"])
 
 

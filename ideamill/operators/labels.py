@@ -11,9 +11,8 @@ from ideamill.functions.text import (
     PROMPT_LINE, fill_template, flatten_label_ideas, parse_label_answer, prompt_text,
 )
 from ideamill.operators.numbering import chunk_number, values_before
-from ideamill.settings import (
-    CHAIN_CHUNKS, CHUNK_ROWS, HOT_GROUP_ROWS, shared_folder, task_count,
-)
+from ideamill.settings import CHAIN_CHUNKS, CHUNK_ROWS, HOT_GROUP_ROWS, task_count
+from ideamill.sources.tables import written
 
 
 def description_or_solution(solution: Column, description: Column) -> Column:
@@ -106,7 +105,6 @@ def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
             yield pd.DataFrame({**{g: pdf[g] for g in group}, "chunk": pdf["chunk"],
                                 "answer": replies})
 
-    shared_folder(texts.sparkSession)
     number = F.floor(F.col("chunk") / chain) if chain else F.lit(0).cast("long")
     placed = (
         texts.select(*group, "chunk", "ideas", number.alias("_chain"))
@@ -114,8 +112,8 @@ def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
         .sortWithinPartitions(*group, "chunk")
     )
     # Written once: later steps read the answers several times, the model is asked once.
-    return placed.mapInPandas(
-        ask, ", ".join([*keys, "chunk long", "answer string"])).checkpoint()
+    return written(placed.mapInPandas(
+        ask, ", ".join([*keys, "chunk long", "answer string"])), "answers")
 
 
 def label_ideas(chunked: DataFrame, answers: DataFrame, group: list[str]) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ideamill.settings import (
-    CHUNK_ROWS, EXPORT_BATCH, HOT_GROUP_ROWS, NUMBERED_CATEGORIES, shared_folder, task_count,
+    CHUNK_ROWS, EXPORT_BATCH, HOT_GROUP_ROWS, NUMBERED_CATEGORIES, task_count,
 )
+from ideamill.sources.tables import written
 
 COPY_BLOCK = 10_000  # equal rows written out by one task at a time
 PLACE_BITS = 33  # monotonically_increasing_id: the partition is above bit 33
@@ -21,16 +22,13 @@ PLACE_BITS = 33  # monotonically_increasing_id: the partition is above bit 33
 def _placed(df: DataFrame, order: list[str]) -> DataFrame:
     """Rows sorted by ``order`` over all partitions, with their partition and place in it.
 
-    The checkpoint fixes the places: later jobs read them and never compute them again.
+    The written table fixes the places: later jobs read them and never compute them again.
     """
-    shared_folder(df.sparkSession)
     place = F.monotonically_increasing_id()
-    return (
+    return written(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_place", place)
-        .withColumn("_range", F.shiftright("_place", PLACE_BITS))
-        .checkpoint()
-    )
+        .withColumn("_range", F.shiftright("_place", PLACE_BITS)), "numbered")
 
 
 def _numbered_by_ranges(df: DataFrame, group: list[str], order: list[str],

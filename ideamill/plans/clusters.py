@@ -12,6 +12,7 @@ from ideamill.operators.numbering import surrogate_keys
 from ideamill.plans.export import idea_vectors
 from ideamill.schemas import VECTOR_COLUMNS
 from ideamill.settings import CELL_POINTS, VECTOR_SIZE
+from ideamill.sources.tables import written
 
 GROUP = ["company_id", "cluster_number"]
 
@@ -26,9 +27,9 @@ def clustered_ideas(dim_idea: DataFrame, fact: DataFrame, loaded: DataFrame,
         new_records(dim_idea, loaded, "idea_db_id"), fact, size, as_text, columns)
     found = cluster_groups(
         ideas, "company_id", "combined_emb", restarts, rounds, seed, cell_points)
-    return found.select(
+    return written(found.select(
         "idea_db_id", "company_id", "goal_id", "cluster_number", "distance_centroid", "name",
-        "description", "solution_1").checkpoint()
+        "description", "solution_1"), "clustered")
 
 
 def ideas_to_label(clustered: DataFrame) -> DataFrame:

@@ -49,10 +49,13 @@ def write_stage(df: DataFrame, path: str, run: date) -> None:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, read with column pruning."""
+    """The rows as a table in the shared folder: computed once, read with column pruning.
+
+    Later plans start from the files, so a lost executor cannot change what was written.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_rows(df: DataFrame, path: str, columns: list[str]) -> None:
