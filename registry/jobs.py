@@ -51,18 +51,18 @@ def _loaded_companies(t: Tables):
 
 SQL_COMPANIES = f"""loaded AS (SELECT s_suppkey + 1 AS id, s_suppkey AS company_db_id
   FROM supplier WHERE s_nationkey < 5),
-rows AS (SELECT s_suppkey AS company_db_id,
+rows AS (SELECT s_suppkey AS company_db_id, s_acctbal > 1000 AS has_name,
   CASE WHEN s_acctbal > 1000 THEN s_name ELSE 'Sin nombre' END AS company_name,
   s_acctbal > 0 AS status_active,
   CAST(epoch_ms({SQL_MS.format('s_acctbal')}) AS DATE) AS created_at,
   CAST(epoch_ms({SQL_MS.format('s_acctbal')} + 86400000) AS DATE) AS updated_at,
-  {HISTORY} FROM supplier WHERE s_suppkey NOT IN (SELECT company_db_id FROM loaded))"""
-DIMENSION_COMPANIES = f"""WITH {SQL_COMPANIES}
-SELECT (SELECT max(id) FROM loaded) + row_number() OVER (ORDER BY company_db_id) AS id, *
-FROM rows"""
+  {HISTORY} FROM supplier)"""
 
 
-@query(DIMENSION_COMPANIES)
+@query(f"""WITH {SQL_COMPANIES}
+SELECT (SELECT max(id) FROM loaded) + row_number() OVER (ORDER BY company_db_id) AS id,
+  rows.* EXCLUDE (has_name)
+FROM rows WHERE company_db_id NOT IN (SELECT company_db_id FROM loaded)""")
 def dimension_companies(t: Tables):
     return dimensions.company_rows(_companies(t), _loaded_companies(t), RUN)
 
@@ -391,8 +391,8 @@ def clusters_labelled(t: Tables):
     return _clusters_labelled(t)
 
 
-@query("""SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id AS idea_id, vec_id + 100 AS idea_db_id,
-  CAST(label + 100 AS BIGINT) AS company_id, vec_id + 10 AS goal_id,
+@query("""SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id AS idea_id,
+  vec_id + 100 AS idea_db_id, CAST(label + 100 AS BIGINT) AS company_id, vec_id + 10 AS goal_id,
   'New Idea ' || vec_id AS idea_c_name, 'Short' AS idea_c_description, 'Text'
     AS cluster_description FROM embeddings WHERE label <> 9""")
 def clusters_labelled_ideas(t: Tables):
@@ -401,11 +401,10 @@ def clusters_labelled_ideas(t: Tables):
         "cluster_number", "distance_centroid", "cluster_name", "final_cluster_name")
 
 
-@query(DIMENSION_COMPANIES.replace("id, *\nFROM rows", "id, *, CAST(CASE WHEN company_name = "
-       "'Sin nombre' THEN 1 ELSE 0 END AS BIGINT) AS load_batch\nFROM rows")
-       .replace("row_number() OVER (ORDER BY company_db_id)",
-                "row_number() OVER (ORDER BY company_name = 'Sin nombre', company_db_id)")
-       .replace("WHERE s_nationkey < 5", "WHERE false").replace("(SELECT max(id) FROM loaded)", "0"))
+@query(f"""WITH {SQL_COMPANIES}
+SELECT row_number() OVER (ORDER BY has_name DESC, company_db_id) AS id,
+  rows.* EXCLUDE (has_name), CAST(CASE WHEN has_name THEN 0 ELSE 1 END AS BIGINT) AS load_batch
+FROM rows""")
 def stream_incremental_load(t: Tables):
     """Land two files, load them as a stream, land the first one again, load again."""
     landing, target = scratch_path(t.spark, "landing"), scratch_path(t.spark, "dim_company")

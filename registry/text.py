@@ -252,9 +252,8 @@ RUN = date(2024, 5, 1)
   DATE '2024-05-01' AS load_date FROM events""")
 def landing_round_trip(t: Tables):
     path = scratch_path(t.spark, "landing")
-    rows = t.events.select(
-        "event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("created_at"), "value",
-        "props")
+    created = F.unix_millis(F.col("ts").cast("timestamp")).alias("created_at")
+    rows = t.events.select("event_id", "user_id", "event_type", created, "value", "props")
     write_records(rows, path, RUN)
     schema = "event_id long, user_id long, event_type string, created_at long, value double, " \
              "props string, load_date date"
@@ -271,7 +270,8 @@ def stage_round_trip(t: Tables):
     return read_table(t.spark, path)
 
 
-@query("SELECT doc_id, text, lang FROM documents UNION ALL SELECT doc_id, text, lang FROM documents")
+@query("""SELECT doc_id, text, lang FROM documents
+UNION ALL SELECT doc_id, text, lang FROM documents""")
 def append_load(t: Tables):
     path = scratch_path(t.spark, "append")
     append_rows(t.documents, path, ["doc_id", "text", "lang"])

@@ -272,7 +272,8 @@ def test_vector_export_skips_exported(spark):
     found = export.idea_vectors(dim_idea, fact, 2, columns=["name_embedded", "sol_1_embedded"])
     exported = spark.createDataFrame([("14",)], "id string")
     records = export.vector_records(found, companies, goals, exported, rows=1)
-    assert rows(records) == [("11", [2.0, 3.0], (11, 1, 9), 0), ("13", [5.0, 6.0], (13, 1, None), 1)]
+    assert rows(records) == [
+        ("11", [2.0, 3.0], (11, 1, 9), 0), ("13", [5.0, 6.0], (13, 1, None), 1)]
 
 
 def test_clusters_are_not_repeated(spark):
