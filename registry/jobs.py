@@ -20,13 +20,13 @@ from ideamill.streaming.incremental import load_stream, read_landing
 from registry.base import new_registry
 from registry.stand_ins import (
     ANSWERS, CONTRIBUTIONS, DIM_COMPANY, DIM_GOALS, DIM_IDEA, DIM_USERS, FIELDS, IDEAS, TAGS,
-    Tables,
+    Tables, with_day_text,
 )
 
 QUERIES, ORACLES, query = new_registry()
 
 RUN = datetime(2024, 5, 1)
-HISTORY = """TIMESTAMP '2024-05-01' AS valid_from, TIMESTAMP '9999-12-31' AS valid_to,
+HISTORY = """TIMESTAMP '2024-05-01' AS valid_from, '9999-12-31' AS valid_to,
   true AS is_current"""
 SQL_MS = "CAST(round({}) AS BIGINT) * 100000000"
 
@@ -64,7 +64,7 @@ SELECT (SELECT max(id) FROM loaded) + row_number() OVER (ORDER BY company_db_id)
   rows.* EXCLUDE (has_name)
 FROM rows WHERE company_db_id NOT IN (SELECT company_db_id FROM loaded)""")
 def dimension_companies(t: Tables):
-    return dimensions.company_rows(_companies(t), _loaded_companies(t), RUN)
+    return with_day_text(dimensions.company_rows(_companies(t), _loaded_companies(t), RUN))
 
 
 @query(f"""WITH {DIM_COMPANY} SELECT row_number() OVER (ORDER BY c_custkey) AS id,
@@ -79,8 +79,8 @@ def dimension_users(t: Tables):
         F.col("c_nationkey").cast("long").alias("company_db_id"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("contract_profile"), ms.alias("created_at"),
         ms.alias("updated_at"))
-    return dimensions.user_rows(
-        source, t.dim_company, _empty(t, "id long, user_db_id long"), RUN)
+    return with_day_text(dimensions.user_rows(
+        source, t.dim_company, _empty(t, "id long, user_db_id long"), RUN))
 
 
 @query(f"""WITH {DIM_COMPANY} SELECT (SELECT max(p_partkey) + 7 FROM part WHERE p_size > 45)
@@ -98,7 +98,7 @@ def dimension_goals(t: Tables):
         F.lit("2020-03-04 05:06:07").alias("created_at"), F.lit("no date").alias("updated_at"))
     loaded = t.part.where("p_size > 45").selectExpr(
         "p_partkey + 7 AS id", "p_partkey AS goal_db_id")
-    return dimensions.goal_rows(source, t.dim_company, loaded, RUN)
+    return with_day_text(dimensions.goal_rows(source, t.dim_company, loaded, RUN))
 
 
 @query(f"""WITH {DIM_COMPANY} SELECT row_number() OVER (ORDER BY c_custkey) AS id,
@@ -424,4 +424,4 @@ def stream_incremental_load(t: Tables):
     ]):
         write_records(rows, landing, date(2024, 5, 1 + day))
         load()
-    return t.spark.read.schema(f"{schema}, load_batch long").parquet(target)
+    return with_day_text(t.spark.read.schema(f"{schema}, load_batch long").parquet(target))

@@ -19,7 +19,7 @@ from ideamill.operators.reshape import (
 )
 from ideamill.plans.facts import more_contributors, ranked_contributors
 from registry.base import new_registry
-from registry.stand_ins import CONTRIBUTIONS, DIM_USERS, Tables
+from registry.stand_ins import CONTRIBUTIONS, DIM_USERS, Tables, with_day_text
 
 QUERIES, ORACLES, query = new_registry()
 
@@ -206,10 +206,10 @@ def surrogate_key_rows(t: Tables):
 
 
 @query("""SELECT s_suppkey, s_name, '' AS country, TIMESTAMP '2024-05-01 00:00:00' AS valid_from,
-  TIMESTAMP '9999-12-31 00:00:00' AS valid_to, true AS is_current FROM supplier""")
+  '9999-12-31' AS valid_to, true AS is_current FROM supplier""")
 def validity_columns(t: Tables):
     rows = t.supplier.select("s_suppkey", "s_name").withColumn("country", F.lit(""))
-    return validity(rows, date(2024, 5, 1))
+    return with_day_text(validity(rows, date(2024, 5, 1)))
 
 
 @query("""SELECT p_partkey + 1 AS goal_db_id, p_name AS goal_name, true AS active FROM part

@@ -10,11 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ideamill.functions.values import day_text
 from ideamill.operators.embedding import text_digest
 from ideamill.settings import configure
 from ideamill.sources.tables import read_table
 
 
+def with_day_text(df: DataFrame, column: str = "valid_to") -> DataFrame:
+    """The open end of a row as text: pandas holds no timestamp of the year 9999."""
+    return df.withColumn(column, day_text(F.col(column)))
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = configure(spark), folder

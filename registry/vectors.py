@@ -50,12 +50,15 @@ def vector_serialize(t: Tables):
         F.round(_total(parts), 4).alias("total"), F.col("maybe").isNull().alias("is_missing"))
 
 
-@query("""SELECT p_partkey, [p_retailprice, CAST(p_size AS DOUBLE),
-  TRY_CAST(p_type AS DOUBLE)] AS vector FROM part""")
+@query("""SELECT p_partkey, 3 AS n_parts, p_retailprice AS first, CAST(p_size AS DOUBLE) AS second,
+  TRY_CAST(p_type AS DOUBLE) AS third FROM part""")
 def vector_parse(t: Tables):
     text = F.concat_ws(",", F.col("p_retailprice").cast("string"),
                        F.col("p_size").cast("string"), "p_type")
-    return t.part.select("p_partkey", text_to_vector(text).alias("vector"))
+    rows = t.part.select("p_partkey", text_to_vector(text).alias("v"))
+    return rows.select(
+        "p_partkey", F.size("v").alias("n_parts"), F.get("v", F.lit(0)).alias("first"),
+        F.get("v", F.lit(1)).alias("second"), F.get("v", F.lit(2)).alias("third"))
 
 
 @query("""WITH wide AS (SELECT vec_id, embedding::DOUBLE[] AS a,
