@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ideamill.llm import bpe, packing, shards, token_files
+from ideamill.llm import bpe, exact_dedup, packing, shards, simhash, token_files
 from ideamill.llm.common import table
 from ideamill.settings import configure, scratch_path
 
@@ -52,3 +52,18 @@ def op3_rank_array_bpe(docs, spark, sf_dir):
 @_query()
 def op6_best_fit_packing(docs, spark, sf_dir):
     return packing.packed_documents(docs, VOCABULARY, end_id=1, length=2048)
+
+
+@_query()
+def op4_simhash_bk_trees(docs, spark, sf_dir):
+    return simhash.near_duplicate_groups(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query("""
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""")
+def op9_counting_quotient_filter(docs, spark, sf_dir):
+    return exact_dedup.duplicate_groups(docs)
