@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ideamill.llm import bpe, exact_dedup, packing, shards, simhash, token_files
+from ideamill.llm import bpe, exact_dedup, language_model, packing, quality, shards, simhash, token_files, toxicity
 from ideamill.llm.common import table
 from ideamill.settings import configure, scratch_path
 
@@ -67,3 +67,22 @@ def op4_simhash_bk_trees(docs, spark, sf_dir):
 """)
 def op9_counting_quotient_filter(docs, spark, sf_dir):
     return exact_dedup.duplicate_groups(docs)
+
+
+@_query()
+def op5_ftrl_toxicity(docs, spark, sf_dir):
+    held_out = toxicity.fold(F.col("doc_id"), 5) == 0
+    weights = toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.scored(docs, weights).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query()
+def op8_boosted_quality(docs, spark, sf_dir):
+    return quality.judged(docs, quality.train(docs, table(spark, sf_dir, "labels"))).drop("chance")
+
+
+@_query()
+def op10_log_bilinear(docs, spark, sf_dir):
+    held = F.coalesce(toxicity.fold(F.col("doc_id"), 10) == 0, F.lit(False))
+    return language_model.scored(docs.select("doc_id", held.alias("held"), "text"))
