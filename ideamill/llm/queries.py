@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ideamill.llm import bpe, exact_dedup, language_model, packing, quality, shards, simhash, token_files, toxicity
+from ideamill.llm import bpe, exact_dedup, language_model, packing, quality, shards, simhash, substrings, token_files, toxicity
 from ideamill.llm.common import table
 from ideamill.settings import configure, scratch_path
 
@@ -86,3 +86,8 @@ def op8_boosted_quality(docs, spark, sf_dir):
 def op10_log_bilinear(docs, spark, sf_dir):
     held = F.coalesce(toxicity.fold(F.col("doc_id"), 10) == 0, F.lit(False))
     return language_model.scored(docs.select("doc_id", held.alias("held"), "text"))
+
+
+@_query()
+def op7_suffix_arrays(docs, spark, sf_dir):
+    return substrings.removal_digests(docs)
