@@ -55,6 +55,15 @@ def _eights(buffer: np.ndarray, order: str) -> np.ndarray:
     return out
 
 
+def _sliding(of: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """Smallest or largest of each `width` neighbours, in steps that double."""
+    step = 1
+    while 2 * step <= width:
+        x = of(x[:-step], x[step:])
+        step *= 2
+    return of(x[:step - width], x[width - step:]) if width > step else x
+
+
 def window_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """(hash, text number, first window, windows) of the runs of windows filed under one hash.
 
@@ -76,12 +85,8 @@ def window_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, .
     h += eights[16:] * a
     h ^= h >> np.uint64(32)
     h *= b
-    width, step, low = length - GRAM + 1, 1, h
-    while 2 * step <= width:
-        low = np.minimum(low[:-step], low[step:])
-        step *= 2
-    if width > step:
-        low = np.minimum(low[:step - width], low[width - step:])
+    width = length - GRAM + 1
+    low = _sliding(np.minimum, h, width)
     starts = np.cumsum(sizes) - sizes
     text = np.repeat(np.arange(len(texts)), np.maximum(sizes - length + 1, 0))
     place = np.arange(len(text)) + np.repeat(starts - (np.cumsum(np.maximum(sizes - length + 1, 0)) - np.maximum(sizes - length + 1, 0)),
@@ -89,11 +94,13 @@ def window_runs(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, .
     own = low[place]
     first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (text[1:] != text[:-1])]) if len(own) else np.zeros(0, np.int64)
     runs, begin, of = np.diff(np.r_[first, len(own)]), place[first], text[first]
-    # Only a run longer than the reach of one hash, or cut off by its text's edge, can hold it twice.
-    edge = (begin == starts[of]) | (begin + runs + length - 1 == starts[of] + sizes[of])
-    for i in np.flatnonzero((runs > width) | edge).tolist():
-        if np.count_nonzero(h[begin[i]:begin[i] + runs[i] + width - 1] == own[first[i]]) > 1:
-            runs[i] = -runs[i]
+    # A hash is in use where it equals the largest of its windows' smallest; one that comes twice in a
+    # run is in use at two neighbouring such places.
+    edge = np.zeros(width - 1, np.uint64)
+    used = h[_sliding(np.maximum, np.concatenate([edge, low, edge]), width) == h]
+    twice = np.unique(used[1:][used[1:] == used[:-1]])
+    if len(twice):
+        runs = np.where(np.isin(own[first], twice), -runs, runs)
     return own[first], of, begin - starts[of], runs
 
 

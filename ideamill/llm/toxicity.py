@@ -6,8 +6,8 @@ term leave few weights, which travel with the tasks that score every whole text.
 
 Contract: null and wordless texts have no feature and get the score of the bias; repeated rows are
 scored alike; of repeated labels the highest counts; rows without a label or key aren't learned
-from; without labels of both kinds the score is the share of ones (0 without any label); an empty
-table gives no row; texts of any length are scored whole; lang, source and doc_id are no inputs.
+from; without labels of both kinds nothing is learned and every score is 0; an empty table gives no
+row; texts of any length are scored whole; lang, source and doc_id are no inputs.
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def _chance(x):
 def fit(rows: list[np.ndarray], labels: list[int], alpha: float = 1.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.0) -> Weights:
     """FTRL-proximal over the rows in the order given, EPOCHS times."""
     share = float(np.mean(labels)) if labels else 0.0
-    base = float(np.log(share / (1 - share))) if 0 < share < 1 else (-35.0 if share == 0 else 35.0)
+    base = float(np.log(share / (1 - share))) if 0 < share < 1 else -35.0
     z, n = np.zeros(1 << SLOT_BITS), np.zeros(1 << SLOT_BITS)
     bias, bias_n = base, 0.0
 

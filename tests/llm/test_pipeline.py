@@ -33,7 +33,8 @@ def test_stages_against_plain_ones(spark):
     library = Tokenizer.from_file(VOCABULARY)
     want = {d: len(library.encode(t, add_special_tokens=False).ids) + 1 for (d, _), t in zip(rows, texts)}
     got = corpus_pipeline.run(spark, DATA).collect()
-    assert {r.doc_id: r.doc_tokens for r in got} == want
+    found = {r.doc_id: r.doc_tokens for r in got}
+    assert sorted(set(found.items()) ^ set(want.items())) == []
     assert sum(r.length for r in got) == sum(want.values())
 
 

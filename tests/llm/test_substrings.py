@@ -48,6 +48,9 @@ def passages(seed=1):
         text = list(rows[7][1] + rows[8][1])
         text[rng.randrange(len(text))] = "#"
         rows.append((2000 + i, "".join(text)))
+    for i, n in enumerate((37, 60, 76, 77, 90, 101)):
+        line = prose(40)[:n]
+        rows += [(2500 + i, prose(30) + line * 6 + prose(30)), (2600 + i, (line + prose(5)) * 4), (2700 + i, line * 3)]
     return rows + [(4, "ab" * 400), (3006, "ab" * 300 + "c"), (3007, "z" * 99), (3008, "z" * 100), (3009, "z" * 101), (3010, "x\x00" * 90)]
 
 
