@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -305,6 +306,7 @@ def repeated_runs(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                     order = np.argsort(part, kind="stable")
                     cuts = np.searchsorted(part[order], np.arange(parts + 1))
                     out: list[list] = [[], [], []]
+                    head = [int(k[begin]) for k in keys]
                     for p in range(parts):
                         at = order[cuts[p]:cuts[p + 1]]
                         if len(at):
@@ -314,8 +316,9 @@ def repeated_runs(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                             out[0].append(p)
                             out[1].append(names.astype("<i8").tobytes())
                             out[2].append(b"".join(body))
-                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(x, pa.binary()) for x in out[1:]]],
-                                                     ["part", "names", "body"])
+                    named = [pa.array([x] * len(out[0]), pa.int64()) for x in head]
+                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *named, *[pa.array(x, pa.binary()) for x in out[1:]]],
+                                                     ["part", *_KEY, "names", "body"])
                     begin, size = i + 1, 0
 
     def repeated(group: pd.DataFrame) -> pd.DataFrame:
@@ -335,26 +338,34 @@ def repeated_runs(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         deal[order] = np.where((np.repeat(sizes, sizes) < 2) & ~within, -1, np.where(np.repeat(sizes, sizes) > HOT_RUNS, 1 + turn // HOT_RUNS, 0))
         del order, every, turn
         out, begin = [], 0
-        for names, (h, (number, first, windows)) in zip(group["names"], bodies):
+        for *ids, names, (h, (number, first, windows)) in zip(*(group[c] for c in _KEY), group["names"], bodies):
             own = deal[begin:begin + len(h)]
             begin += len(h)
             at = np.flatnonzero(own >= 0)
             if not len(at):
                 continue
-            at = at[np.argsort(number[at], kind="stable")]
             table = np.empty(len(at), _RUN)
             table["hash"], table["first"], table["windows"], table["deal"] = h[at], first[at], np.abs(windows[at]), own[at]
-            cuts = np.flatnonzero(np.r_[True, number[at][1:] != number[at][:-1], True])
-            keys = np.frombuffer(names, "<i8").reshape(3, -1)[:, number[at][cuts[:-1]]]
-            raw = table.tobytes()
-            size = _RUN.itemsize
-            out.append(pd.DataFrame({"key": keys[0], "tie": keys[1], "row": keys[2],
-                                     "runs": [raw[a * size:b * size] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "tie": [], "row": [], "runs": []})
-
-    found = rows.select(*_KEY, "text").mapInArrow(local, "part int, names binary, body binary")
-    some = found.groupBy("part").applyInPandas(repeated, f"{_KEY_SCHEMA}, runs binary")
-    return written(some.groupBy(*_KEY).agg(F.collect_list("runs").alias("runs")), "runs")
+            names = np.frombuffer(names, "<i8").reshape(3, -1)
+            used, of = np.unique(number[at], return_inverse=True)
+            out.append((*ids, names[:, used].tobytes(), of.astype("<i4").tobytes(), table.tobytes()))
+        return pd.DataFrame(out, columns=[*_KEY, "names", "of", "runs"])
+
+    def by_document(group: pd.DataFrame) -> pd.DataFrame:
+        found: dict[tuple, list[bytes]] = {}
+        for names, of, table in zip(group["names"], group["of"], group["runs"]):
+            names, of = np.frombuffer(names, "<i8").reshape(3, -1).T.tolist(), np.frombuffer(of, "<i4")
+            order = np.argsort(of, kind="stable")
+            cuts = np.searchsorted(of[order], np.arange(len(names) + 1)).tolist()
+            table = np.frombuffer(table, _RUN)[order]
+            for key, x, y in zip(names, cuts, cuts[1:]):
+                found.setdefault(tuple(key), []).append(table[x:y].tobytes())
+        return pd.DataFrame([(*key, b"".join(own)) for key, own in found.items()], columns=[*_KEY, "runs"])
+
+    # A group of texts is named by its first document.
+    found = rows.select(*_KEY, "text").mapInArrow(local, f"part int, {_KEY_SCHEMA}, names binary, body binary")
+    some = found.groupBy("part").applyInPandas(repeated, f"{_KEY_SCHEMA}, names binary, of binary, runs binary")
+    return written(some.groupBy(*_KEY).applyInPandas(by_document, f"{_KEY_SCHEMA}, runs binary"), "runs")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -363,7 +374,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def weigh(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            sizes = [sum(int(t["windows"].sum()) + (length - 1) * len(t) for t in map(lambda r: np.frombuffer(r, _RUN), x)) for x in b.column(0).to_pylist()]
+            tables = [np.frombuffer(x, _RUN) for x in b.column(0).to_pylist()]
+            sizes = [int(t["windows"].sum()) + (length - 1) * len(t) for t in tables]
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n"])
 
     shards = parts_for(runs.select("runs").mapInArrow(weigh, "n long").agg(F.sum("n")).first()[0] or 0, SHARD_BYTES)
@@ -372,30 +384,33 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         for b in batches:
             found: dict[tuple[int, int], dict] = {}
             names = list(zip(*(b.column(i).to_pylist() for i in range(3))))
-            for key, raw, tables in zip(names, raw_texts(b.column(3)), b.column(4).to_pylist()):
-                for table in tables:
-                    table = np.frombuffer(table, _RUN)
-                    for h, first, windows, deal in zip(*(table[c].tolist() for c in _RUN.names)):
-                        run = raw[first:first + windows + length - 1]
-                        # Equal runs of the batch travel once, with all their places.
-                        found.setdefault((h % shards, deal), {}).setdefault((h, run), []).append((*key, first))
-            rows_out = [[], [], [], [], [], []]
+            for key, raw, table in zip(names, raw_texts(b.column(3)), b.column(4).to_pylist()):
+                table = np.frombuffer(table, _RUN)
+                for h, first, windows, deal in zip(*(table[c].tolist() for c in _RUN.names)):
+                    run = raw[first:first + windows + length - 1]
+                    # Equal runs of the batch travel once, with all their places.
+                    found.setdefault((h % shards, deal), {}).setdefault((h, run), []).append((*key, first))
+            rows_out = [[], [], [], [], [], [], []]
+            small = zstandard.ZstdCompressor(level=1).compress
             for (shard, deal), own in found.items():
-                values = (shard, deal, np.array([n[0] for n in own], "<u8").tobytes(), [n[1] for n in own],
-                          np.array([len(p) for p in own.values()], "<i4").tobytes(), np.array([x for p in own.values() for x in p], "<i8").T.tobytes())
+                values = (shard, deal, np.array([n[0] for n in own], "<u8").tobytes(), small(b"".join([n[1] for n in own])),
+                          np.array([len(n[1]) for n in own], "<i4").tobytes(), np.array([len(p) for p in own.values()], "<i4").tobytes(), np.array([x for p in own.values() for x in p], "<i8").T.tobytes())
                 for column, value in zip(rows_out, values):
                     column.append(value)
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows_out, kinds)], ["shard", "deal", "hashes", "runs", "counts", "places"])
+            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows_out, kinds)],
+                                             ["shard", "deal", "hashes", "runs", "sizes", "counts", "places"])
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         own, deal, shard = _Runs(), int(group["deal"].iloc[0]), int(group["shard"].iloc[0])
-        for hashes, names, counts, places in zip(group["hashes"], group["runs"], group["counts"], group["places"]):
+        for hashes, runs, sizes, counts, places in zip(*(group[c] for c in ("hashes", "runs", "sizes", "counts", "places"))):
+            runs, stops = zstandard.ZstdDecompressor().decompress(runs), np.cumsum(np.frombuffer(sizes, "<i4")).tolist()
+            names = [runs[x:y] for x, y in zip([0, *stops], stops)]
             place = iter(np.frombuffer(places, "<i8").reshape(4, -1).T.tolist())
             for h, name, n in zip(np.frombuffer(hashes, "<u8").tolist(), names, np.frombuffer(counts, "<i4").tolist()):
                 for _ in range(n):
                     *key, first = next(place)
-                    own.add((h, bytes(name)), tuple(key), first)
+                    own.add((h, name), tuple(key), first)
         sort_runs(own, length)
         out = pd.DataFrame(own.rows(), columns=[*_KEY, "spans"]).assign(shard=-1, deal=0, run=None, hash=0, first=0)
         if deal:
@@ -412,7 +427,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         return pd.DataFrame(own.rows(), columns=[*_KEY, "spans"])
 
     pieces = rows.select(*_KEY, "text").join(runs, _KEY).mapInArrow(
-        cut, "shard int, deal int, hashes binary, runs array<binary>, counts binary, places binary")
+        cut, "shard int, deal int, hashes binary, runs binary, sizes binary, counts binary, places binary")
     sorted_ = written(pieces.groupBy("shard", "deal").applyInPandas(
         sort, f"{_KEY_SCHEMA}, spans binary, shard int, deal int, run binary, hash long, first long"), "sorted")
     merged = sorted_.where("shard >= 0").drop("spans").groupBy("hash").applyInPandas(merge, f"{_KEY_SCHEMA}, spans binary")

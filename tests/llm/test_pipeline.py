@@ -39,7 +39,7 @@ def test_stages_against_plain_ones(spark):
 
 
 def test_stages_return_the_columns_of_documents(spark, edge_folder):
-    spark.createDataFrame([(3, 1, 0), (4, 0, 1)], "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{edge_folder}/labels.parquet")
+    spark.createDataFrame([(3, 1, 0), (5, 1, 0), (7, 1, 0), (8, 1, 0), (4, 0, 1), (11, 0, 1)], "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{edge_folder}/labels.parquet")
     docs = table(spark, edge_folder, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, edge_folder).columns == docs.columns
