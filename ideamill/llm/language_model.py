@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,8 @@ def coded_corpus(docs: DataFrame) -> DataFrame:
             sizes, out = np.array(lengths, np.int64), np.array(held, bool)
             counts = np.bincount(ids[np.repeat(~out, sizes)], minlength=len(number)).astype(np.int32)
             row = [part_id() << 32 | chunk, np.array([k or 0 for k in keys], np.int64).tobytes(),
-                   np.array([k is None for k in keys], bool).tobytes(), out.tobytes(), sizes.tobytes(), ids.tobytes()]
+                   np.array([k is None for k in keys], bool).tobytes(), out.tobytes(), sizes.tobytes(),
+                   zstandard.compress(ids.tobytes(), 1)]
             kinds = [pa.int64(), *[pa.binary()] * 5]
             arrays = [pa.array([x], t) for x, t in zip(row, kinds)]
             lists = [pa.array([list(number)], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int32()))]
@@ -194,7 +196,7 @@ class Chunk:
     def __init__(self, row, whole: Totals):
         self.keys, self.null = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["doc_null"], bool)
         self.held, lengths = np.frombuffer(row["held"], bool), np.frombuffer(row["lengths"], np.int64)
-        local = np.frombuffer(row["tokens"], np.int32)
+        local = np.frombuffer(zstandard.decompress(row["tokens"]), np.int32)
         k = whole.classes
         named = {w: i for i, w in enumerate(whole.words)}
         self.word_class = np.array([named.get(bytes(w), k - 1) for w in row["words"]] + [k - 2], np.int32)
