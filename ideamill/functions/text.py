@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,11 +58,16 @@ def strip_fences(column: Column) -> Column:
 
 
 def fill_template(template: str, **values: Column) -> Column:
-    """Put column values at the ``{name}`` marks of a template."""
-    filled = F.lit(template)
-    for name, value in values.items():
-        filled = F.replace(filled, F.lit("{" + name + "}"), F.coalesce(value, F.lit("")))
-    return filled
+    """Put column values at the ``{name}`` marks of a template; marks inside values stay."""
+    return F.concat(*[
+        F.coalesce(values[part], F.lit("")) if is_mark else F.lit(part)
+        for part, is_mark in template_parts(template, values)])
+
+
+def template_parts(template: str, names: Iterable[str]) -> list[tuple[str, bool]]:
+    """The template cut at its ``{name}`` marks: each plain piece, and each name with True."""
+    marks = re.compile("{(" + "|".join(map(re.escape, names)) + ")}")
+    return [(part, i % 2 == 1) for i, part in enumerate(marks.split(template))]
 
 
 def _after(column: Column, mark: str) -> Column:

@@ -40,11 +40,12 @@ def classify_fields(answers: DataFrame, order: list[str],
         answers.select("company_id", "field_id", "title", "description", *[
             c for c in order if c not in ("company_id", "field_id", "title", "description")]),
         ["field_id", "company_id"], order)
-    # Written once: the numbering reads the rows twice, the model must see them once.
-    named = written(fields.select(
+    # The plain answer is written before anything reads it: each use of a column would ask again.
+    asked = written(fields.select(
         "company_id", "field_id", F.col("title").alias("name"), "description",
-        category_in(classify(F.col("title"), F.col("description"))).alias("category"),
+        classify(F.col("title"), F.col("description")).alias("category"),
     ), "fields")
+    named = asked.withColumn("category", category_in(F.col("category")))
     return number_categories(named, "company_id", "category", ["field_id"])
 
 
@@ -67,11 +68,11 @@ def unseen_texts(df: DataFrame, text: str, vectors: DataFrame) -> DataFrame:
 def embed_texts(texts: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:
     """Vectors (``digest``, ``vector``) of texts by the caller's column function.
 
-    Write the result once and add it to the vector table; a text whose vector is NULL is tried
-    again in the next run.
+    The result is a written table, so each text is asked once; add it to the vector table. A text
+    whose vector is NULL is tried again in the next run.
     """
-    return texts.select("digest", embed(F.col("text")).alias("vector")).where(
-        "vector IS NOT NULL")
+    made = written(texts.select("digest", embed(F.col("text")).alias("vector")), "vectors")
+    return made.where("vector IS NOT NULL")
 
 
 def attach_vectors(df: DataFrame, text: str, vectors: DataFrame, output: str) -> DataFrame:

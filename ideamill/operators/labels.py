@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ideamill.functions.text import (
     PROMPT_LINE, fill_template, flatten_label_ideas, parse_label_answer, prompt_text,
+    template_parts,
 )
 from ideamill.operators.numbering import chunk_number, values_before
-from ideamill.settings import CHAIN_CHUNKS, CHUNK_ROWS, HOT_GROUP_ROWS, task_count
+from ideamill.operators.reshape import keep_first
+from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, task_count
 from ideamill.sources.tables import written
 
 
@@ -75,14 +77,13 @@ def prompts(texts: DataFrame, group: list[str], first: str, following: str,
 
 def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
                  answer: Callable[[str], str],
-                 read_label: Callable[[str], tuple[str, str]],
-                 chain: int | None = CHAIN_CHUNKS) -> DataFrame:
+                 read_label: Callable[[str], tuple[str, str] | None]) -> DataFrame:
     """Ask the caller's model chunk by chunk; each prompt carries the label of the chunk before.
 
     Clusters are spread over the partitions and streamed in chunk order: a task holds one batch
-    and the last label, never a whole cluster. Since every answer waits for the one before, a
-    cluster of more than ``chain`` chunks goes on in a new chain, whose first prompt has no
-    label; None keeps even the largest cluster in one chain, and so in one task.
+    and the last label, never a whole cluster. Every answer waits for the one before, so one
+    cluster is one sequence, however many chunks it has. An answer that ``read_label`` can't read
+    (None or a ValueError, LookupError or TypeError) is stored as it came and leaves the label.
     """
     keys = [f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields
             if f.name in group]
@@ -90,25 +91,35 @@ def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
     def ask(batches):
         import pandas as pd
 
+        def filled(template, **values):
+            return "".join(values[part] if is_mark else part
+                           for part, is_mark in template_parts(template, values))
+
+        def read(reply):
+            try:
+                return read_label(reply)
+            except (ValueError, LookupError, TypeError):
+                return None
+
         last_key, label = None, None
         for pdf in batches:
             replies = []
             for row in pdf.to_dict("records"):
-                key = tuple(row[g] for g in [*group, "_chain"])
+                key = tuple(row[g] for g in group)
                 if key != last_key:
                     last_key, label = key, None
-                text = first if label is None else following.replace(
-                    "{cluster_name}", label[0]).replace("{cluster_description}", label[1])
-                reply = answer(text.replace("{ideas}", row["ideas"]))
-                label = read_label(reply)
+                prompt = filled(first, ideas=row["ideas"]) if label is None else filled(
+                    following, ideas=row["ideas"], cluster_name=label[0] or "",
+                    cluster_description=label[1] or "")
+                reply = answer(prompt)
+                label = read(reply) or label
                 replies.append(reply)
             yield pd.DataFrame({**{g: pdf[g] for g in group}, "chunk": pdf["chunk"],
                                 "answer": replies})
 
-    number = F.floor(F.col("chunk") / chain) if chain else F.lit(0).cast("long")
     placed = (
-        texts.select(*group, "chunk", "ideas", number.alias("_chain"))
-        .repartition(task_count(texts.sparkSession), *group, "_chain")
+        texts.select(*group, "chunk", "ideas")
+        .repartition(task_count(texts.sparkSession), *group)
         .sortWithinPartitions(*group, "chunk")
     )
     # Written once: later steps read the answers several times, the model is asked once.
@@ -121,11 +132,14 @@ def label_ideas(chunked: DataFrame, answers: DataFrame, group: list[str]) -> Dat
 
     Adds ``idea_c_name``, ``idea_c_description``, the chunk's ``cluster_name`` and
     ``cluster_description``, and ``final_cluster_name``, the label of the last chunk.
-    Ideas without a usable answer keep NULL labels.
+    Ideas without a usable answer keep NULL labels; of an index that an answer repeats the first
+    label counts.
     """
     parsed = parse_label_answer(answers, "answer")
+    named = parsed.withColumn("ideas", F.transform("ideas", lambda x, i: x.withField("_turn", i)))
+    once = keep_first(flatten_label_ideas(named, [*group, "chunk"]), [*group, "chunk", "index"], ["_turn"])
     labelled = (
-        flatten_label_ideas(parsed, [*group, "chunk"])
+        once.drop("_turn")
         .withColumnsRenamed({"idea_name": "idea_c_name",
                              "idea_description": "idea_c_description"})
     )

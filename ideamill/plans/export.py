@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ideamill.functions.vectors import mean_of_valid, text_to_vector
 from ideamill.operators.lookup import look_up, new_records
 from ideamill.operators.numbering import batch_number
+from ideamill.operators.reshape import keep_first
 from ideamill.schemas import VECTOR_COLUMNS
 from ideamill.settings import EXPORT_BATCH, VECTOR_SIZE
 
@@ -18,7 +19,8 @@ def idea_vectors(dim_idea: DataFrame, fact: DataFrame, size: int = VECTOR_SIZE,
 
     Ideas without any valid vector are left out.
     """
-    keys = fact.select("idea_id", "goal_id", "company_id")
+    # A submission loaded twice must not double a vector's id.
+    keys = keep_first(fact.select("idea_id", "goal_id", "company_id"), ["idea_id"], ["goal_id", "company_id"])
     vectors = [text_to_vector(F.col(c)) if as_text else F.col(c) for c in columns]
     kept = [c for c in dim_idea.columns if c not in columns]
     return (

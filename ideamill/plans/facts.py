@@ -46,10 +46,26 @@ def more_contributors(ranked: DataFrame, per_cell: int = MEMBERS_PER_CELL) -> Da
         "user_id", "users", per_cell)
 
 
+def submission_members(contributions: DataFrame, users: DataFrame, dim_idea: DataFrame,
+                       per_cell: int = MEMBERS_PER_CELL, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """The members table next to the fact: every contributor of every idea, in cells 0, 1, ...
+
+    ``users`` of the fact is cell 0; an idea with more contributors goes on in further cells, so
+    that no row holds an unbounded group and no contributor is lost.
+    """
+    cells = members_json(ranked_contributors(contributions, users, hot_rows), "idea_id", "user_num", "user_key", "user_id",
+                         "users", per_cell).withColumnRenamed("idea_id", "idea_db_id")
+    found = look_up(cells, dim_idea, {"idea_db_id": "idea_db_id"}, "id", "idea_id")
+    return found.where("idea_id IS NOT NULL").select("idea_id", "cell", "users")
+
+
 def submission_fact(stage: DataFrame, contributions: DataFrame, users: DataFrame,
                     dim_idea: DataFrame, hot_rows: int = HOT_GROUP_ROWS,
                     per_cell: int = MEMBERS_PER_CELL) -> DataFrame:
-    """Submissions with warehouse keys; ideas that are not in the dimension are left out."""
+    """Submissions with warehouse keys; ideas that are not in the dimension are left out.
+
+    Load submission_members() with it: that table holds the contributors beyond the first cell.
+    """
     wide = contributor_columns(ranked_contributors(contributions, users, hot_rows), per_cell)
     wide = wide.withColumnRenamed("idea_id", "idea_db_id")
     found = look_up(stage, dim_idea, {"idea_db_id": "idea_db_id"}, "id", "idea_id")

@@ -51,8 +51,6 @@ DEFAULT_GOAL = {
 HOT_GROUP_ROWS = 1_000_000
 # Members held in one JSON text cell; a larger group gets further cells.
 MEMBERS_PER_CELL = 1_000
-# Chunks of one cluster labelled one after the other (5,000 ideas).
-CHAIN_CHUNKS = 1_000
 # Distinct points clustered together in one task.
 CELL_POINTS = 4_096
 

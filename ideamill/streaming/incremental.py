@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 Rows = Callable[[DataFrame, DataFrame], DataFrame]
+# The folders a batch is stored under: the run that loaded it and its number there.
+BATCH_COLUMNS = "load_run string, load_batch long"
 
 
 def read_landing(spark: SparkSession, path: str, schema: str, clean: str = "off",
@@ -26,30 +30,35 @@ def read_landing(spark: SparkSession, path: str, schema: str, clean: str = "off"
 
 def loaded_rows(spark: SparkSession, target: str, schema: str) -> DataFrame:
     """The target table, empty before its first load."""
-    typed = spark.read.schema(f"{schema}, load_batch long")
+    schema = f"{schema}, {BATCH_COLUMNS}"
+    typed = spark.read.schema(schema)
     try:
         return typed.parquet(target)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"{schema}, load_batch long")
+        return spark.createDataFrame([], schema)
 
 
 def load_stream(landing: DataFrame, target: str, schema: str, checkpoint: str, rows: Rows
                 ) -> StreamingQuery:
     """Append the new rows of all landed files to the target and stop when none is left.
 
-    ``rows(batch, loaded)`` gives the rows to append. Each batch owns one folder of the target
-    and overwrites it when it is replayed after a failure, so a key is loaded once.
+    ``rows(batch, loaded)`` gives the rows to append. Each batch owns one folder of the target,
+    named by the id in the checkpoint and its number, and overwrites it when it is replayed after
+    a failure, so a key is loaded once. A new checkpoint has a new id: it starts at batch 0 again
+    but leaves the folders of other runs alone and counts their rows as loaded.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        loaded = loaded_rows(spark, target, schema).where(f"load_batch <> {number}")
         if batch.isEmpty():
             return
-        rows(batch, loaded.drop("load_batch")).write.mode("overwrite").parquet(
-            f"{target}/load_batch={number}")
+        run = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        loaded = loaded_rows(spark, target, schema).where(
+            (F.col("load_run") != run) | (F.col("load_batch") != number))
+        rows(batch, loaded.drop("load_run", "load_batch")).write.mode("overwrite").parquet(
+            f"{target}/load_run={run}/load_batch={number}")
 
     return (
         landing.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -16,7 +16,7 @@ from ideamill.plans import clusters, dimensions, export, facts, ideas
 from ideamill.plans.forms import idea_attributes
 from ideamill.settings import scratch_path
 from ideamill.sources.tables import write_records, written
-from ideamill.streaming.incremental import load_stream, read_landing
+from ideamill.streaming.incremental import BATCH_COLUMNS, load_stream, read_landing
 from registry.base import new_registry
 from registry.stand_ins import (
     ANSWERS, CONTRIBUTIONS, DIM_COMPANY, DIM_GOALS, DIM_IDEA, DIM_USERS, FIELDS, IDEAS, TAGS,
@@ -424,4 +424,4 @@ def stream_incremental_load(t: Tables):
     ]):
         write_records(rows, landing, date(2024, 5, 1 + day))
         load()
-    return with_day_text(t.spark.read.schema(f"{schema}, load_batch long").parquet(target))
+    return with_day_text(t.spark.read.schema(f"{schema}, {BATCH_COLUMNS}").parquet(target).drop("load_run"))

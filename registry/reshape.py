@@ -17,7 +17,7 @@ from ideamill.operators.numbering import (
 from ideamill.operators.reshape import (
     cluster_count, first_non_null, keep_first, members_json, pivot_first, rank_pivot,
 )
-from ideamill.plans.facts import more_contributors, ranked_contributors
+from ideamill.plans.facts import more_contributors, ranked_contributors, submission_members
 from registry.base import new_registry
 from registry.stand_ins import CONTRIBUTIONS, DIM_USERS, Tables, with_day_text
 
@@ -106,6 +106,20 @@ def members_in_further_cells(t: Tables):
     return more_contributors(ranked, per_cell=3)
 
 
+@query(f"""WITH {RANKED} SELECT idea_id + 1000 AS idea_id,
+  coalesce(string_agg('"user_id_' || user_num || '":' || user_key, ',' ORDER BY user_num)
+    FILTER (user_key IS NOT NULL), '') AS users
+FROM ranked GROUP BY idea_id""")
+def submission_members_whole(t: Tables):
+    """Cells of two, put together again: no contributor of any idea is missing."""
+    ideas = t.contributions.select("idea_id").distinct().select(
+        F.col("idea_id").alias("idea_db_id"), (F.col("idea_id") + 1000).alias("id"))
+    cells = submission_members(t.contributions, t.dim_users, ideas, per_cell=2)
+    inside = F.expr("substring(users, 2, length(users) - 2)")
+    held = F.transform(F.array_sort(F.collect_list(F.struct("cell", inside.alias("text")))), lambda c: c["text"])
+    return cells.groupBy("idea_id").agg(F.array_join(F.filter(held, lambda x: x != ""), ",").alias("users"))
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_shipdate, l_partkey, l_suppkey) = 1""")

@@ -253,11 +253,73 @@ def test_live_model_is_asked_once_per_chunk_in_order(spark):
     assert names == {(4, i): "x" * (i + 1) for i in range(5)} | {(5, 0): "x", (5, 1): "xx"}
     found.count()
     assert asked.value == 7
-    chains = live_answers(chunk_texts(chunked, GROUP), GROUP, "first {ideas}",
-                          "next|{cluster_name}|{ideas}", model, label, chain=2)
-    names = {(r["cluster_number"], r["chunk"]): json.loads(r["answer"])["cluster_name"]
-             for r in chains.collect()}
-    assert [names[4, i] for i in range(5)] == ["x", "xx", "x", "xx", "x"]
+
+
+def test_an_unusable_answer_keeps_the_label_and_marks_in_texts_stay(spark):
+    texts = spark.createDataFrame(
+        [(1, 0, "a"), (1, 1, "{cluster_name}"), (1, 2, "c")], "cluster long, chunk long, ideas string")
+
+    def model(prompt):
+        return f"label {prompt}" if "a" == prompt else f"unusable {prompt}"
+
+    def label(answer):
+        if answer.startswith("unusable"):
+            raise ValueError(answer)
+        return "L", "{ideas}"
+
+    found = live_answers(texts, ["cluster"], "{ideas}", "{cluster_name}/{cluster_description}/{ideas}", model, label)
+    assert [r["answer"] for r in found.orderBy("chunk").collect()] == [
+        "label a", "unusable L/{ideas}/{cluster_name}", "unusable L/{ideas}/c"]
+
+
+def test_a_repeated_index_gives_one_label(spark):
+    chunked = spark.createDataFrame([(1, 0, 0), (1, 0, 1)], "cluster long, chunk long, index long")
+    answer = json.dumps({"ideas": [
+        {"index": 0, "idea_name": "first", "idea_description": ""}, {"index": 0, "idea_name": "second", "idea_description": ""},
+        {"index": 1, "idea_name": "other", "idea_description": ""}], "cluster_name": "n", "cluster_description": "d"})
+    answers = spark.createDataFrame([(1, 0, answer)], "cluster long, chunk long, answer string")
+    found = label_ideas(chunked, answers, ["cluster"])
+    assert sorted((r["index"], r["idea_c_name"]) for r in found.collect()) == [(0, "first"), (1, "other")]
+
+
+def test_models_are_asked_once_per_item(spark):
+    from pyspark.sql.functions import pandas_udf
+    from pyspark.sql import functions as F
+
+    asked = spark.sparkContext.accumulator(0)
+
+    def build(kind, value, fixed):
+        def call(text):
+            asked.add(len(text))
+            return text.map(lambda _: value)
+
+        udf = pandas_udf(call, kind)
+        return udf if fixed else udf.asNondeterministic()
+
+    texts = spark.range(10).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), F.col("id").cast("string").alias("text"))
+    answers = spark.range(10).selectExpr("id AS field_id", "1L AS company_id", "'t' AS title", "'d' AS description")
+    for fixed in (True, False):
+        before = asked.value
+        made = embed_texts(texts, build("array<double>", [1.0], fixed))
+        assert made.count() == 10 and len(made.collect()) == 10 and asked.value - before == 10
+        before = asked.value
+        model = build("string", "Category: Problem", fixed)
+        found = classify_fields(answers, ["field_id"], lambda title, description: model(title))
+        assert found.count() == 10 and len(found.collect()) == 10 and asked.value - before == 10
+
+
+def test_a_fresh_progress_folder_keeps_loaded_rows(spark, tmp_path):
+    schema = "key long"
+
+    def load(progress):
+        stream = read_landing(spark, f"{tmp_path}/landing", schema)
+        load_stream(stream, f"{tmp_path}/target", schema, f"{tmp_path}/{progress}", lambda batch, loaded:
+                    batch.join(loaded, "key", "left_anti")).awaitTermination()
+
+    for keys, progress in (((1, 2), "one"), ((2, 3), "two"), ((4,), "two")):
+        spark.createDataFrame([(k,) for k in keys], schema).coalesce(1).write.mode("append").json(f"{tmp_path}/landing")
+        load(progress)
+    assert sorted(r["key"] for r in spark.read.parquet(f"{tmp_path}/target").collect()) == [1, 2, 3, 4]
 
 
 def test_vector_export_skips_exported(spark):
