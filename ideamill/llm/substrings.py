@@ -38,8 +38,8 @@ LENGTH = 100
 GRAM = 24
 # Bytes hashed together, bytes of text for each part that compares hashes, bytes of runs in a shard.
 GROUP_BYTES = 1 << 18
-PART_BYTES = 64 << 20
-SHARD_BYTES = 3 << 20
+PART_BYTES = 24 << 20
+SHARD_BYTES = 1 << 20
 HOT_RUNS = 4_096
 _NO_KEY = -(1 << 63)
 _KEY = ["key", "tie", "row"]
