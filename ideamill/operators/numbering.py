@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ideamill.settings import (
     CHUNK_ROWS, EXPORT_BATCH, HOT_GROUP_ROWS, NUMBERED_CATEGORIES, task_count,
@@ -19,14 +20,21 @@ COPY_BLOCK = 10_000  # equal rows written out by one task at a time
 PLACE_BITS = 33  # monotonically_increasing_id: the partition is above bit 33
 
 
-def _placed(df: DataFrame, order: list[str]) -> DataFrame:
+def _tie_columns(df: DataFrame, keys: list[str]) -> list[str]:
+    """The columns that decide between rows of equal keys, so that no size changes a number."""
+    return [f.name for f in df.schema.fields
+            if f.name not in keys and not isinstance(f.dataType, MapType)]
+
+
+def _placed(df: DataFrame, order: list[str], ties: list[str] = ()) -> DataFrame:
     """Rows sorted by ``order`` over all partitions, with their partition and place in it.
 
-    The written table fixes the places: later jobs read them and never compute them again.
+    ``ties`` order the rows of equal keys, which lie in one partition. The written table fixes the
+    places: later jobs read them and never compute them again.
     """
     place = F.monotonically_increasing_id()
     return written(
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df.repartitionByRange(*order).sortWithinPartitions(*order, *ties)
         .withColumn("_place", place)
         .withColumn("_range", F.shiftright("_place", PLACE_BITS)), "numbered")
 
@@ -35,14 +43,14 @@ def _numbered_by_ranges(df: DataFrame, group: list[str], order: list[str],
                         name: str) -> DataFrame:
     ties = df.groupBy(*group, *order).count().where(F.col("count") > COPY_BLOCK)
     tied = not ties.isEmpty()
+    rest = _tie_columns(df, group + order)
     if tied:
-        # No range can split equal keys: the other columns decide, and rows that are equal in
-        # all columns are merged, counted and written out again at the end.
-        order = order + [c for c in df.columns if c not in group + order]
+        # No range can split equal keys: the other columns split them too, and rows that are equal
+        # in all columns are merged, counted and written out again at the end.
         source = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+        placed = _placed(source, group + order + rest)
     else:
-        source = df.withColumn("_copies", F.lit(1).cast("long"))
-    placed = _placed(source, group + order)
+        placed = _placed(df.withColumn("_copies", F.lit(1).cast("long")), group + order, rest)
     earlier_places = Window.partitionBy(*group, "_range").orderBy("_place").rowsBetween(
         Window.unboundedPreceding, -1)
     earlier_ranges = Window.partitionBy(*group).orderBy("_range").rowsBetween(
@@ -85,11 +93,11 @@ def _spread_copies(started: DataFrame, columns: list[str], name: str) -> DataFra
 
 def running_number(df: DataFrame, group: list[str], order: list[str], name: str,
                    hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Add 1, 2, 3, ... within each group. ``order`` should leave no ties."""
+    """Add 1, 2, 3, ... within each group. Ties in ``order`` go by the other columns in turn."""
     hot = df.groupBy(*group).count().where(F.col("count") > hot_rows)
     if not hot.isEmpty():
         return _numbered_by_ranges(df, group, order, name)
-    window = Window.partitionBy(*group).orderBy(*order)
+    window = Window.partitionBy(*group).orderBy(*order, *_tie_columns(df, group + order))
     return df.withColumn(name, F.row_number().over(window).cast("long"))
 
 

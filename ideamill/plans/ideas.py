@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 from ideamill import schemas
 from ideamill.functions.text import keep_listed_columns
 from ideamill.functions.values import (
-    compact_left, known_key, moment_of, normalise_missing, timestamp_or,
+    compact_left, known_key, moment_of, normalise_missing, not_blank, timestamp_or,
 )
 from ideamill.functions.vectors import vector_to_text
-from ideamill.operators.embedding import attach_vectors, classify_by_keywords, classify_fields
+from ideamill.operators.embedding import classify_by_keywords, classify_fields, text_digest
 from ideamill.operators.history import validity
 from ideamill.operators.lookup import known_rows, look_up, new_records
 from ideamill.operators.numbering import surrogate_keys
 from ideamill.operators.reshape import pivot_first
 from ideamill.plans.forms import answers_of_companies, idea_attributes
 from ideamill.settings import LOOKUP_MISS, MAX_TIMESTAMP, UNUSED_CATEGORIES
+from ideamill.sources.tables import written
 
 
 def new_answers(answers: DataFrame, fields: DataFrame, ideas: DataFrame, companies: DataFrame,
@@ -59,20 +60,36 @@ def wide_ideas(answers: DataFrame, vectors: DataFrame, attributes: DataFrame) ->
     """One row per idea: attributes, six problems, six solutions and their vectors.
 
     ``answers`` carry a category, ``vectors`` map text digests to vectors, ``attributes`` hold
-    one row per idea.
+    one row per idea. The pivot sees digests; vectors meet only those that it keeps. The result is
+    a written table, as several consumers read it.
     """
-    embedded = attach_vectors(answers, "field_answer", vectors, "vector")
-    per_idea = pivot_first(
-        embedded.withColumns({
+    embedded = vectors.where("vector IS NOT NULL")
+    known = embedded.select(F.col("digest").alias("known")).distinct()
+    key = F.when(not_blank(F.col("field_answer")), text_digest(F.col("field_answer")))
+    marked = answers.withColumn("_digest", key).join(known, F.col("_digest") == F.col("known"), "left")
+    per_idea = written(pivot_first(
+        marked.withColumns({
             "name": F.col("idea_name"), "description": F.col("field_answer"),
             "category_name": F.col("category")}),
         ["idea_id"], "category_name", ["field_id"],
-        {"field_answer": schemas.TEXT_COLUMN_OF, "vector": schemas.VECTOR_COLUMN_OF},
+        {"field_answer": schemas.TEXT_COLUMN_OF, "known": schemas.VECTOR_COLUMN_OF},
         others=["company_id", "name", "description", "category", "created_at", "updated_at"],
-        ties={"vector": "field_answer"})
-    joined = per_idea.join(attributes, "idea_id", "left").withColumnRenamed(
-        "idea_id", "idea_db_id")
-    return compact_left(normalise_missing(joined), schemas.FAMILIES)
+        ties={"known": "field_answer"}), "wide-texts")
+    joined = (
+        per_idea.drop(*schemas.VECTOR_COLUMNS)
+        .join(kept_vectors(per_idea, embedded), "idea_id", "left")
+        .join(attributes, "idea_id", "left").withColumnRenamed("idea_id", "idea_db_id"))
+    return written(compact_left(normalise_missing(joined), schemas.FAMILIES), "wide")
+
+
+def kept_vectors(per_idea: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Per idea the vectors of the digests in its vector columns, in columns of the same names."""
+    slots = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("slot"), F.col(c).alias("digest")) for c in schemas.VECTOR_COLUMNS]))
+    wanted = per_idea.select("idea_id", slots.alias("_kept")).select("idea_id", "_kept.*").where(
+        "digest IS NOT NULL")
+    return wanted.join(vectors.select("digest", "vector"), "digest").groupBy("idea_id").agg(*[
+        F.max(F.when(F.col("slot") == c, F.col("vector"))).alias(c) for c in schemas.VECTOR_COLUMNS])
 
 
 def idea_dimension_rows(wide: DataFrame, loaded: DataFrame, run: datetime,

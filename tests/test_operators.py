@@ -69,6 +69,17 @@ def test_hot_group_spans_ranges(spark):
     assert hot.exceptAll(plain).isEmpty() and hot.count() == 20_000
 
 
+@pytest.mark.parametrize("size", [3_000, 12_000])
+def test_ties_are_numbered_alike_at_any_size(spark, size):
+    """All rows share the key: the other column decides in the window and in both range branches."""
+    df = spark.range(size).select(
+        F.lit("g").alias("g"), F.lit(1).alias("o"), (F.col("id") * 7919 % 15_013).alias("x")).repartition(7)
+    plain = running_number(df, ["g"], ["o"], "n")
+    spread = running_number(df, ["g"], ["o"], "n", hot_rows=100)
+    assert plain.exceptAll(spread).isEmpty() and spread.exceptAll(plain).isEmpty()
+    assert [r.n for r in plain.orderBy("x").select("n").collect()] == list(range(1, size + 1))
+
+
 def test_hot_copies_are_numbered(spark):
     """Two thirds of the rows are one row: no order can split them."""
     df = spark.range(90_000).select(
