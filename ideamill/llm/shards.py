@@ -1,10 +1,12 @@
 """Byte-balanced shards of indivisible groups by Karmarkar-Karp differencing.
 
-Rows with equal texts form a group that stays in one shard. Groups are dealt out by hash; each part
-combines its groups by differencing into one partial partition, and a last step combines the parts'
-partitions in the same way: the two with the largest spread are added oppositely ordered, until one
-is left. A group's rows never meet in a task: groups come from a map-side combined aggregate of
-digests, and rows get their shard by a join that adaptive execution splits at hot groups.
+Rows with equal texts form a group that stays in one shard. Differencing adds the two partial
+partitions with the largest spread oppositely ordered, until one is left. Up to GROUPS_PER_PART
+groups each enter it alone. Of more groups those larger than an even bundle do, and the small ones
+are summed into bundles by hash, which still are fine enough to level the large ones: no shares are
+levelled before all large groups are in. A group's rows never meet in a task: groups come from a
+map-side combined aggregate of digests, and rows get their shard by a join that adaptive execution
+splits at hot groups.
 
 Contract: size is the UTF-8 length of the text plus 1 (null: 1; null and empty are equal texts);
 repeated rows and repeated or null keys are rows like others; an empty table gives no row; ties go
@@ -16,13 +18,13 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ideamill.llm.common import part_id, parts_for, written
+from ideamill.llm.common import written
 
+# Items differenced in one task.
 GROUPS_PER_PART = 1 << 17
 
 
@@ -72,32 +74,33 @@ def differencing(sums: list[list[int]]) -> tuple[list[int], list[list[int]]]:
 
 def balanced_groups(groups: DataFrame, shards: int) -> DataFrame:
     """groups (digest, size) with the shard of each. groups must be a written table."""
-    parts = parts_for(groups.count(), GROUPS_PER_PART)
+    count, total = groups.agg(F.count("*"), F.sum("size")).first()
+    few = count <= GROUPS_PER_PART
+    bundles = GROUPS_PER_PART // 2
+    # Less than `bundles` groups are larger than an even bundle, so items are GROUPS_PER_PART at most.
+    alone = F.lit(True) if few else F.col("size") > total // bundles
+    named = groups.select("digest", "size", F.when(alone, F.col("digest")).alias("own"),
+                          F.when(~alone, F.pmod(F.xxhash64("digest"), F.lit(bundles))).cast("int").alias("bundle"))
 
     def local(batches: Iterator[pa.RecordBatch]):
         held = [b for b in batches if b.num_rows]
         if not held:
             return
-        table = pa.Table.from_batches(held).combine_chunks().sort_by([("size", "descending"), ("digest", "ascending")])
-        sizes = table["size"].to_pylist()
-        # A group alone is a partition with one bin in use.
-        _, places = differencing([[s] + [0] * (shards - 1) for s in sizes])
-        bins = pa.array([p[0] for p in places], pa.int32())
-        table = table.append_column("part", pa.array(np.full(len(sizes), part_id(), np.int32))).append_column("bin", bins)
+        table = pa.Table.from_batches(held).combine_chunks().sort_by(
+            [("size", "descending"), ("own", "ascending"), ("bundle", "ascending")])
+        # An item is a partition with one bin in use.
+        _, places = differencing([[s] + [0] * (shards - 1) for s in table["size"].to_pylist()])
+        table = table.drop_columns("size").append_column("shard", pa.array([p[0] for p in places], pa.int32()))
         yield from table.to_batches(max_chunksize=10_000)
 
     kind = groups.schema["digest"].dataType.simpleString()
-    placed = written(groups.select("digest", "size").repartition(parts, "digest").mapInArrow(
-        local, f"digest {kind}, size long, part int, bin int"), "kk-parts")
-    # At most MAX_PARTS parts of so many sums.
-    own: dict[int, list[int]] = {}
-    for r in placed.groupBy("part", "bin").agg(F.sum("size").alias("bytes")).collect():
-        own.setdefault(r["part"], [0] * shards)[r["bin"]] = r["bytes"]
-    order = sorted(own)
-    _, places = differencing([own[p] for p in order])
-    rows = [(p, b, s) for p, at in zip(order, places) for b, s in enumerate(at)]
-    named = groups.sparkSession.createDataFrame(rows, "part int, bin int, shard int")
-    return placed.join(F.broadcast(named), ["part", "bin"]).select("digest", "shard")
+    items = named.select("own", "bundle", "size") if few else named.groupBy("own", "bundle").agg(F.sum("size").alias("size"))
+    placed = written(items.repartition(1).mapInArrow(local, f"own {kind}, bundle int, shard int"), "kk-items")
+    single = placed.where("own IS NOT NULL").select(F.col("own").alias("digest"), "shard")
+    if few:
+        return single
+    bundled = named.where("bundle IS NOT NULL").join(placed.where("bundle IS NOT NULL").select("bundle", "shard"), "bundle")
+    return single.unionByName(bundled.select("digest", "shard"))
 
 
 def shard_documents(docs: DataFrame, shards: int) -> DataFrame:

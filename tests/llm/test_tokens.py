@@ -135,6 +135,20 @@ def test_differencing_beats_greedy_spread():
     assert sum(joined) == sum(sizes) and max(joined) - min(joined) <= 20
 
 
+def test_op2_levels_hot_groups_among_many(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shards, "GROUPS_PER_PART", 2_048)
+    sizes = np.random.default_rng(6).integers(50, 150, 8_000).tolist()
+    # One group with a tenth of all bytes, some of a hundredth, and many a hundred times the usual size.
+    sizes += [sum(sizes) // 7] + [sum(sizes) // 70] * 9 + [9_000 + i for i in range(20)]
+    path = str(tmp_path / "groups")
+    spark.createDataFrame([(f"{i:06x}", s) for i, s in enumerate(sizes)], "digest string, size long").write.parquet(path)
+    got = {r.digest: r.shard for r in shards.balanced_groups(spark.read.parquet(path), 8).collect()}
+    sums = [0] * 8
+    for i, s in enumerate(sizes):
+        sums[got[f"{i:06x}"]] += s
+    assert len(got) == len(sizes) and max(sums) - min(sums) <= 0.001 * sum(sizes) / 8
+
+
 @pytest.mark.parametrize("name", ["op1_token_files", "op2_karmarkar_karp", "op3_rank_array_bpe", "op6_best_fit_packing"])
 def test_empty_table(spark, empty_folder, name):
     assert QUERIES[name](spark, empty_folder).count() == 0
