@@ -10,8 +10,10 @@ smaller key or further ahead in the same one. Whole texts never meet:
    refinement (ranks double their depth, sorted groups are left alone), neighbours get their common
    prefixes in Kasai's way (a suffix has its predecessor's prefix less one byte unless the byte
    before differs), and equal windows stand side by side.
-3. A hash with more than HOT_RUNS runs is dealt to several shards. Each gives on its distinct runs;
-   they are merged by binary search in each other's sorted windows.
+3. A hash with more than HOT_RUNS runs is dealt to several shards. Each gives on its distinct runs.
+   Digests of their windows meet in buckets, which answer which digests other shards have too; only
+   those windows travel on, once a shard, and are compared byte for byte. So the windows of one hash
+   lie in as many buckets as their number asks for.
 
 Documents are told apart by doc_id, file and row number. Contract: null doc_ids come first; equal
 doc_ids go by a hash of the file and the row number, so of repeated rows one stays; null and short
@@ -41,6 +43,11 @@ GROUP_BYTES = 1 << 18
 PART_BYTES = 24 << 20
 SHARD_BYTES = 1 << 20
 HOT_RUNS = 4_096
+# Hashes with about this many runs in a sample of the texts are spread before they are counted.
+SPREAD_RUNS = 1 << 18
+SAMPLED = 64
+# Windows of hot hashes compared together.
+BUCKET_WINDOWS = 1 << 18
 _NO_KEY = -(1 << 63)
 _KEY = ["key", "tie", "row"]
 _KEY_SCHEMA = "key long, tie long, row long"
@@ -253,27 +260,102 @@ def sort_runs(runs: _Runs, length: int = LENGTH) -> None:
     runs.repeat_windows(run[later], offset[later], length)
 
 
-def merge_runs(runs: _Runs, shard: list[int], length: int = LENGTH) -> None:
-    """Mark the repeated windows of runs of different shards: binary search in sorted windows."""
-    names = [name[1] for name in runs.number]
-    keys, start = _key_ranks(runs.owner), np.array([o[3] for o in runs.owner], np.int64)
-    have = None
-    for s in sorted(set(shard)):
-        own = [i for i, x in enumerate(shard) if x == s]
-        run = np.repeat(own, [len(names[i]) - length + 1 for i in own])
-        offset = np.concatenate([np.arange(len(names[i]) - length + 1) for i in own])
-        windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(names[i], np.uint8), length) for i in own])
-        windows = np.ascontiguousarray(windows).view(f"S{length}").ravel()
-        order = np.argsort(windows, kind="stable")
-        new = (windows[order], run[order], offset[order])
-        if have is None:
-            have = new
-            continue
-        spot = np.searchsorted(have[0], new[0], "left")
-        have = tuple(np.insert(x, spot, y) for x, y in zip(have, new))
-    groups = np.cumsum(np.r_[True, have[0][1:] != have[0][:-1]])
-    later = _later(groups, start[have[1]] + have[2], keys[have[1]])
-    runs.repeat_windows(have[1][later], have[2][later], length)
+def window_digests(buffer: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """A digest of the `length` bytes from each position on; equal windows have equal ones."""
+    eights, n = _eights(buffer, "<"), max(0, len(buffer) - length + 1)
+    h, a = np.zeros(n, np.uint64), np.uint64(0x9E3779B97F4A7C15)
+    for o in [*range(0, length - 8, 8), length - 8]:
+        h ^= eights[o:o + n]
+        h *= a
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def _packed(runs: _Runs) -> tuple:
+    """Runs with the places of their owners, as binary columns."""
+    return (zstandard.ZstdCompressor(level=1).compress(b"".join(name[1] for name in runs.number)),
+            np.array([len(name[1]) for name in runs.number], "<i4").tobytes(), np.array(runs.owner, "<i8").T.tobytes())
+
+
+def _packed_windows(runs: bytes, sizes: bytes, length: int) -> tuple[np.ndarray, ...]:
+    """The bytes of packed runs, and position, run number and digest of each window."""
+    buffer, sizes = np.frombuffer(zstandard.ZstdDecompressor().decompress(runs), np.uint8), np.frombuffer(sizes, "<i4").astype(np.int64)
+    counts, starts = sizes - length + 1, np.cumsum(sizes) - sizes
+    run = np.repeat(np.arange(len(sizes)), counts)
+    at = np.arange(len(run)) - (np.cumsum(counts) - counts)[run] + starts[run]
+    return buffer, at, run, window_digests(buffer, length)[at]
+
+
+def _in_buckets(digests: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    bucket = (digests % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    starts = np.flatnonzero(np.r_[True, bucket[order][1:] != bucket[order][:-1]]) if len(order) else order
+    for own in np.split(order, starts[1:]):
+        if len(own):
+            yield int(bucket[own[0]]), own
+
+
+def _by_place(windows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by window and place (key, tie, row, start), and which places of it begin a new window."""
+    _, groups = np.unique(windows, return_inverse=True)
+    order = np.lexsort((*places[::-1], groups))
+    return order, np.r_[True, groups[order][1:] != groups[order][:-1]]
+
+
+def merged_spans(packed: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(key, tie, row, spans): the repeats between the packed runs of hot hashes, a row for each shard
+    and deal: shard, deal, n (windows), runs, sizes, places. packed must be a written table."""
+    buckets = parts_for(packed.agg(F.sum("n")).first()[0] or 0, BUCKET_WINDOWS)
+
+    def digests(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            for row in b.to_pylist():
+                own = np.unique(_packed_windows(row["runs"], row["sizes"], length)[3])
+                dealt = [(bucket, own[at].tobytes()) for bucket, at in _in_buckets(own, buckets)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["shard"]] * len(dealt), pa.int32()), pa.array([row["deal"]] * len(dealt), pa.int32()),
+                     pa.array([d[0] for d in dealt], pa.int32()), pa.array([d[1] for d in dealt], pa.binary())],
+                    ["shard", "deal", "bucket", "digests"])
+
+    def shared(group: pd.DataFrame) -> pd.DataFrame:
+        held = [np.frombuffer(x, np.uint64) for x in group["digests"]]
+        found, counts = np.unique(np.concatenate(held), return_counts=True)
+        several = found[counts > 1]
+        out = group[["shard", "deal"]].assign(digests=[x[np.isin(x, several)].tobytes() for x in held])
+        return out[out["digests"].str.len() > 0]
+
+    def windows(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            for row in b.to_pylist():
+                buffer, at, run, digest = _packed_windows(row["runs"], row["sizes"], length)
+                some = np.flatnonzero(np.isin(digest, np.frombuffer(b"".join(row["several"]), np.uint64)))
+                at, run, digest = at[some], run[some], digest[some]
+                starts = np.cumsum(sizes := np.frombuffer(row["sizes"], "<i4").astype(np.int64)) - sizes
+                places = np.frombuffer(row["places"], "<i8").reshape(4, -1)[:, run].copy()
+                places[3] += at - starts[run]
+                body = np.lib.stride_tricks.sliding_window_view(buffer, length)[at]
+                # Equal windows of the shard are marked already: the earliest stands for them.
+                order, new = _by_place(body.view(f"S{length}").ravel(), places)
+                first = order[new]
+                dealt = [(bucket, body[first[x]].tobytes(), places[:, first[x]].tobytes()) for bucket, x in _in_buckets(digest[first], buckets)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d[0] for d in dealt], pa.int32()), *[pa.array([d[i] for d in dealt], pa.binary()) for i in (1, 2)]],
+                    ["bucket", "windows", "places"])
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        places = np.concatenate([np.frombuffer(x, "<i8").reshape(4, -1) for x in group["places"]], axis=1)
+        order, new = _by_place(np.frombuffer(b"".join(group["windows"]), f"S{length}"), places)
+        found: dict[tuple, list[int]] = {}
+        for *key, start in places[:, order[~new]].T.tolist():
+            found.setdefault(tuple(key), []).extend((start, start + length))
+        return pd.DataFrame([(*key, np.array(x, np.int64).tobytes()) for key, x in found.items()], columns=[*_KEY, "spans"])
+
+    several = (packed.select("shard", "deal", "runs", "sizes").mapInArrow(digests, "shard int, deal int, bucket int, digests binary")
+               .groupBy("bucket").applyInPandas(shared, "shard int, deal int, digests binary")
+               .groupBy("shard", "deal").agg(F.collect_list("digests").alias("several")))
+    return (packed.join(several, ["shard", "deal"]).select("runs", "sizes", "places", "several")
+            .mapInArrow(windows, "bucket int, windows binary, places binary")
+            .groupBy("bucket").applyInPandas(merge, f"{_KEY_SCHEMA}, spans binary"))
 
 
 def _identified(docs: DataFrame, *more: str) -> DataFrame:
@@ -289,10 +371,32 @@ def _identified(docs: DataFrame, *more: str) -> DataFrame:
 _RUN = np.dtype([("hash", "<u8"), ("first", "<i8"), ("windows", "<i4"), ("deal", "<i4")])
 
 
+def spread_hashes(rows: DataFrame, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of very many runs, in order, and about how many shards each needs."""
+    def hashes(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            raws, begin, size = raw_texts(b.column(0)), 0, 0
+            for i, raw in enumerate(raws):
+                size += len(raw)
+                if size >= GROUP_BYTES or i == len(raws) - 1:
+                    found, counts = np.unique(window_runs(raws[begin:i + 1], length)[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["hash", "n"])
+                    begin, size = i + 1, 0
+
+    sample = rows.where(F.pmod(F.xxhash64(*_KEY), F.lit(SAMPLED)) == 0).select("text")
+    # A hash of two runs or more in the sample is known to be repeated.
+    found = (sample.mapInArrow(hashes, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+             .where(F.col("n") >= max(2, SPREAD_RUNS // SAMPLED)).collect())
+    hot, counts = np.array([r["hash"] for r in found], np.int64).view(np.uint64), np.array([r["n"] for r in found], np.int64)
+    order = np.argsort(hot)
+    return hot[order], -(-counts[order] * SAMPLED // HOT_RUNS)
+
+
 def repeated_runs(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, tie, row, runs): for each document its runs under hashes that other runs have too."""
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(volume, PART_BYTES)
+    hot, deals = spread_hashes(rows, length)
 
     def local(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -302,20 +406,20 @@ def repeated_runs(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                 size += len(raw)
                 if size >= GROUP_BYTES or i == len(raws) - 1:
                     h, text, first, windows = window_runs(raws[begin:i + 1], length)
-                    part = (h % np.uint64(parts)).astype(np.int64)
+                    # A spread hash goes by its text, to parts of its own.
+                    part = np.where(np.isin(h, hot), parts + (text + keys[0][begin] + keys[2][begin]) % parts, (h % np.uint64(parts)).astype(np.int64))
                     order = np.argsort(part, kind="stable")
-                    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+                    cuts = np.searchsorted(part[order], np.arange(2 * parts + 1))
                     out: list[list] = [[], [], []]
                     head = [int(k[begin]) for k in keys]
-                    for p in range(parts):
+                    for p in np.flatnonzero(np.diff(cuts)).tolist():
                         at = order[cuts[p]:cuts[p + 1]]
-                        if len(at):
-                            used, number = np.unique(text[at], return_inverse=True)
-                            names = np.stack([k[begin + used] for k in keys])
-                            body = [h[at].tobytes(), number.astype("<i4").tobytes(), first[at].astype("<i4").tobytes(), windows[at].astype("<i4").tobytes()]
-                            out[0].append(p)
-                            out[1].append(names.astype("<i8").tobytes())
-                            out[2].append(b"".join(body))
+                        used, number = np.unique(text[at], return_inverse=True)
+                        names = np.stack([k[begin + used] for k in keys])
+                        body = [h[at].tobytes(), number.astype("<i4").tobytes(), first[at].astype("<i4").tobytes(), windows[at].astype("<i4").tobytes()]
+                        out[0].append(p)
+                        out[1].append(names.astype("<i8").tobytes())
+                        out[2].append(b"".join(body))
                     named = [pa.array([x] * len(out[0]), pa.int64()) for x in head]
                     yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *named, *[pa.array(x, pa.binary()) for x in out[1:]]],
                                                      ["part", *_KEY, "names", "body"])
@@ -336,6 +440,8 @@ def repeated_runs(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         deal = np.empty(len(every), np.int32)
         within = np.concatenate([b[1][2] for b in bodies])[order] < 0
         deal[order] = np.where((np.repeat(sizes, sizes) < 2) & ~within, -1, np.where(np.repeat(sizes, sizes) > HOT_RUNS, 1 + turn // HOT_RUNS, 0))
+        if (part := int(group["part"].iloc[0])) >= parts:
+            deal[order] = 1 + (turn + part * 7_919) % deals[np.searchsorted(hot, every[order])]
         del order, every, turn
         out, begin = [], 0
         for *ids, names, (h, (number, first, windows)) in zip(*(group[c] for c in _KEY), group["names"], bodies):
@@ -412,25 +518,17 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                     *key, first = next(place)
                     own.add((h, name), tuple(key), first)
         sort_runs(own, length)
-        out = pd.DataFrame(own.rows(), columns=[*_KEY, "spans"]).assign(shard=-1, deal=0, run=None, hash=0, first=0)
+        columns = [*_KEY, "spans", "shard", "deal", "n", "runs", "sizes", "places"]
+        out = [(*r, -1, 0, 0, None, None, None) for r in own.rows()]
         if deal:
-            kept = [(*o[:3], None, shard, deal, name, np.uint64(h).astype(np.int64), o[3]) for (h, name), o in zip(own.number, own.owner)]
-            out = pd.concat([out, pd.DataFrame(kept, columns=[*_KEY, "spans", "shard", "deal", "run", "hash", "first"])])
-        return out[[*_KEY, "spans", "shard", "deal", "run", "hash", "first"]]
-
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        own, shard = _Runs(), {}
-        for r in group.to_dict("records"):
-            own.add((r["hash"], bytes(r["run"])), (r["key"], r["tie"], r["row"]), r["first"])
-            shard.setdefault((r["hash"], bytes(r["run"])), r["deal"])
-        merge_runs(own, [shard[name] for name in own.number], length)
-        return pd.DataFrame(own.rows(), columns=[*_KEY, "spans"])
+            out.append((0, 0, 0, None, shard, deal, sum(len(name[1]) - length + 1 for name in own.number), *_packed(own)))
+        return pd.DataFrame(out, columns=columns)
 
     pieces = rows.select(*_KEY, "text").join(runs, _KEY).mapInArrow(
         cut, "shard int, deal int, hashes binary, runs binary, sizes binary, counts binary, places binary")
     sorted_ = written(pieces.groupBy("shard", "deal").applyInPandas(
-        sort, f"{_KEY_SCHEMA}, spans binary, shard int, deal int, run binary, hash long, first long"), "sorted")
-    merged = sorted_.where("shard >= 0").drop("spans").groupBy("hash").applyInPandas(merge, f"{_KEY_SCHEMA}, spans binary")
+        sort, f"{_KEY_SCHEMA}, spans binary, shard int, deal int, n long, runs binary, sizes binary, places binary"), "sorted")
+    merged = merged_spans(sorted_.where("shard >= 0").select("shard", "deal", "n", "runs", "sizes", "places"), length)
     spans = sorted_.where("shard < 0").select(*_KEY, "spans").unionByName(merged)
     return spans.groupBy(*_KEY).agg(F.collect_list("spans").alias("spans"))
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 
 from ideamill.llm import substrings
 from ideamill.llm.queries import QUERIES
@@ -68,6 +69,33 @@ def test_op7_against_a_scan(spark, tmp_path, monkeypatch, hot):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_op7_gathers_no_hot_hash(spark, tmp_path, monkeypatch):
+    """A phrase of most texts with other text around it: right results, and no task holds all its runs."""
+    monkeypatch.setattr(substrings, "HOT_RUNS", 64)
+    monkeypatch.setattr(substrings, "PART_BYTES", 1 << 16)
+    monkeypatch.setattr(substrings, "BUCKET_WINDOWS", 512, raising=False)
+    monkeypatch.setattr(substrings, "SPREAD_RUNS", 512, raising=False)
+    grouped = GroupedData.applyInPandas
+
+    def bounded(self, func, schema):
+        def checked(group):
+            held = sum(len(x) for c in group for x in group[c] if isinstance(x, (bytes, bytearray)))
+            assert held < 150_000, f"{held} bytes in one group"
+            return func(group)
+        return grouped(self, checked, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", bounded)
+    rng = random.Random(9)
+    noise = lambda: "".join(rng.choice("abcdefgh") for _ in range(90))
+    phrase, lines = "the phrase that most of these texts have in common, other text stands around it", [noise() for _ in range(40)]
+    rows = [(i, noise() + phrase + (rng.choice(lines) if i % 4 == 0 else noise())) for i in range(3_000)]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op7_suffix_arrays"](spark, folder).collect()}
+    want = {d: (removed, spans, hashlib.sha256(kept).hexdigest()) for (d, _), (kept, removed, spans) in zip(rows, plain([t.encode() for _, t in rows]))}
+    assert got == want and sum(x[0] > 0 for x in want.values()) > 500
+
+
 def test_op7_edges(spark, edge_folder):
     got = QUERIES["op7_suffix_arrays"](spark, edge_folder).collect()
     rows = ordered(edge_rows())
