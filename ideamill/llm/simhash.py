@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ideamill.llm.common import parts_for, raw_texts, written
 from ideamill.llm.components import components
@@ -62,7 +63,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, keep: list[str
             prints = np.array([fingerprint(raw, words, seed) for raw in raw_texts(b.column(0))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(prints, pa.int64())], [*keep, "print"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["print long"])
+    schema = StructType(fields).add("print", "long")
     return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(run, schema)
 
 

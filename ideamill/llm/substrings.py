@@ -33,6 +33,7 @@ import zstandard
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ideamill.llm.common import parts_for, raw_texts, written
 
@@ -578,17 +579,18 @@ def keep_first(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             texts = [_kept(raw, _removed(spans)).decode("utf-8", "ignore") for raw, spans in zip(raw_texts(b.column(0)), b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), b.column(2)], ["text", "whole"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), b.column(2)], ["text", carrier])
 
-    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
-    try:
-        rows = _identified(docs.withColumn("whole", packed), "whole") if "whole" not in docs.columns else None
-    except AnalysisException:
-        rows = None
-    if rows is None:
-        raise ValueError("a column named whole can't be kept")
+    def quoted(name: str) -> str:
+        return f"`{name.replace('`', '``')}`"
+
+    # Spark tells names apart without regard to case.
+    carrier, taken = "whole", {c.lower() for c in docs.columns}
+    while carrier in taken:
+        carrier += "_"
+    rows = _identified(docs.withColumn(carrier, F.struct(*[F.col(quoted(c)) for c in docs.columns])), carrier)
     joined = rows.join(repeated_spans(rows, length), _KEY, "left")
-    same = joined.where("spans IS NULL").select("whole.*")
-    kind = joined.schema["whole"].dataType.simpleString()
-    cut = joined.where("spans IS NOT NULL").select("text", "spans", "whole").mapInArrow(run, f"text string, whole {kind}")
-    return same.unionByName(cut.select(*[F.col("text") if c == "text" else F.col(f"whole.`{c}`") for c in docs.columns]))
+    same = joined.where("spans IS NULL").select(f"{carrier}.*")
+    schema = StructType().add("text", "string").add(carrier, joined.schema[carrier].dataType)
+    cut = joined.where("spans IS NOT NULL").select("text", "spans", carrier).mapInArrow(run, schema)
+    return same.unionByName(cut.select(*[F.col("text") if c == "text" else F.col(f"{carrier}.{quoted(c)}") for c in docs.columns]))

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ideamill.llm.common import raw_texts
 
@@ -132,7 +133,7 @@ def scored(docs: DataFrame, weights: Weights, keep: list[str] | None = None) ->
             sums = np.array([dense[features(raw)].sum(dtype=np.float64) for raw in raw_texts(b.column(0))])
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(_chance(sums + weights.bias), pa.float64())], [*keep, "score"])
 
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + ["score double"])
+    schema = StructType([docs.schema[c] for c in keep]).add("score", "double")
     return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(run, schema)
 
 

@@ -7,8 +7,9 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import GroupedData
+from pyspark.sql import functions as F
 
-from ideamill.llm import substrings
+from ideamill.llm import simhash, substrings, toxicity
 from ideamill.llm.queries import QUERIES
 from tests.llm.conftest import CLASHING, edge_rows
 
@@ -129,6 +130,16 @@ def test_keep_first_keeps_columns(spark, edge_folder):
     assert Counter(r[CLASHING[0]] for r in got.collect()) == Counter(r[CLASHING[0]] for r in docs.collect())
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    text = "".join(random.Random(2).choices("abcdef ", k=300))
+    docs = spark.createDataFrame([(1, text, 5, 6, 7), (2, "x" + text, 8, 9, 10)], "doc_id long, text string, Whole int, `a b:c,d` int, `e``f` int")
+    got = {r[0]: tuple(r) for r in substrings.keep_first(docs).collect()}
+    assert got == {1: (1, text, 5, 6, 7), 2: (2, "x", 8, 9, 10)}
+    kept = [simhash.keep_one(docs), toxicity.scored(docs.select("text", F.struct("*").alias("row")), toxicity.Weights(np.zeros(0, np.int32), np.zeros(0, np.float32), 0.0), ["row"]).select("row.*")]
+    for other in kept:
+        assert other.columns == docs.columns and (1, text, 5, 6, 7) in [tuple(r) for r in other.collect()]
+
+
 def test_empty_table(spark, empty_folder):
     assert QUERIES["op7_suffix_arrays"](spark, empty_folder).count() == 0
     assert substrings.keep_first(spark.read.parquet(f"{empty_folder}/documents.parquet")).count() == 0
