@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ideamill.llm import bpe, exact_dedup, language_model, packing, quality, shards, simhash, substrings, token_files, toxicity
+from ideamill.llm import (
+    alignment, bpe, exact_dedup, language_model, licenses, merkle, packing, quality, shards, simhash, substrings, token_files, toxicity,
+)
 from ideamill.llm.common import table
 from ideamill.settings import configure, scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -91,3 +94,65 @@ def op10_log_bilinear(docs, spark, sf_dir):
 @_query()
 def op7_suffix_arrays(docs, spark, sf_dir):
     return substrings.removal_digests(docs)
+
+
+def _sql_leaf(text: str) -> str:
+    """The digest of a row's fields in SQL."""
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _sql_levels(own: str, name: str) -> str:
+    """The step from one level of nodes to the next."""
+    return f"""SELECT {own} level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx))
+        FROM {name} WHERE n > 1 GROUP BY {own} level, idx // 16, n"""
+
+
+def _sql_steps(name: str, runs: str, same_tree: str) -> str:
+    """The step from a node with its proof so far to the node above it."""
+    others = "digests[:idx % 16] || {} digests[idx % 16 + 2:]"
+    return f"""SELECT doc_id, leaf, p.tree, place, subroot, idx // 16, (n + 15) // 16, p.level + 1,
+            sha256(array_to_string({others.format("[digest] ||")}, '')), proof || array_to_string({others.format("")}, '')
+        FROM {name} p JOIN {runs} r ON {same_tree} r.level = p.level AND r.run = p.idx // 16 WHERE n > 1"""
+
+
+# The bits of the CRC of a decimal number's digits, one after the other.
+_SQL_CRC = """xor(4294967295, list_reduce(list_concat([4294967295],
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))))"""
+
+
+@_query(f"""
+    WITH RECURSIVE base AS (SELECT doc_id, source, {_sql_leaf("text")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_SQL_CRC} % 5 = 0
+        THEN {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS probe FROM documents),
+    sources AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM base GROUP BY source),
+    leaves AS (SELECT base.*, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+        FROM base JOIN sources ON base.source IS NOT DISTINCT FROM sources.source),
+    nodes AS (SELECT tree, 0 AS level, idx, n, leaf AS digest FROM leaves UNION ALL {_sql_levels("tree,", "nodes")}),
+    top AS (SELECT 0 AS level, tree AS idx, (SELECT count(*) FROM sources) AS n, digest FROM nodes WHERE n = 1
+        UNION ALL {_sql_levels("", "top")}),
+    runs AS (SELECT tree, level, idx // 16 AS run, list(digest ORDER BY idx) AS digests FROM nodes WHERE n > 1 GROUP BY ALL),
+    top_runs AS (SELECT level, idx // 16 AS run, list(digest ORDER BY idx) AS digests FROM top WHERE n > 1 GROUP BY ALL),
+    low AS (SELECT doc_id, leaf, leaves.tree, leaves.idx AS place, nodes.digest AS subroot, leaves.idx, leaves.n, 0 AS level,
+            coalesce(probe, leaf) AS digest, '' AS proof
+        FROM leaves JOIN nodes ON nodes.tree = leaves.tree AND nodes.n = 1
+        UNION ALL {_sql_steps("low", "runs", "r.tree = p.tree AND")}),
+    high AS (SELECT doc_id, leaf, tree, place, subroot, tree AS idx, (SELECT count(*) FROM sources) AS n, 0 AS level, digest, proof
+        FROM low WHERE n = 1 UNION ALL {_sql_steps("high", "top_runs", "")})
+    SELECT doc_id, leaf, subroot, top.digest AS root, sha256(proof) AS proof_sha256, high.digest AS folded_root,
+        high.digest = top.digest AS verified
+    FROM high, top WHERE high.n = 1 AND top.n = 1
+""")
+def op11_octopus_multiproofs(docs, spark, sf_dir):
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    return merkle.audit_digests(docs, tampered)
+
+
+@_query()
+def op12_hash_set_alignment(docs, spark, sf_dir):
+    return alignment.alignment_digests(docs, BYTE_LEVEL, PIECES)
+
+
+@_query()
+def op13_license_expressions(docs, spark, sf_dir):
+    return licenses.license_digests(docs)
