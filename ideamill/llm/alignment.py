@@ -33,22 +33,26 @@ from ideamill.llm.words import byte_marks
 # Words in each of a memo's two generations; longer words are not kept.
 MEMO_WORDS = 200_000
 MEMO_LENGTH = 64
+# New words that are encoded together, as one text.
+WORDS_AT_ONCE = 1_000
 GROUP_CHARS = 1 << 20
+_LATIN_END = chr(0x250)
 # U+180E is white space to some pattern libraries only: no cut next to it.
 _CUT = re.compile(r"(?<=[^\s\u180e]) (?=[^\s\u180e])")
+_OPEN_END = re.compile(r"[\s\u180e]\Z")
 
-Slices = Iterator[tuple[list[int], list[int]]]
 
+def common_ends(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """The ends that both id lists have, sorted, and how many ids of A and of B each one closes."""
+    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1)))
+    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    ends = sorted(a_at.keys() & b_at.keys())
+    return ends, list(map(a_at.__getitem__, ends)), list(map(b_at.__getitem__, ends))
 
-def aligned(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> Slices:
-    """The groups of both id lists between the ends that both have."""
-    a_at = {end: i for i, end in enumerate(a_ends, 1)}
-    b_at = {end: i for i, end in enumerate(b_ends, 1)}
-    i = j = 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        p, q = a_at[end], b_at[end]
-        yield a_ids[i:p], b_ids[j:q]
-        i, j = p, q
+
+def slices(a_ids: list, b_ids: list, a_stops: list[int], b_stops: list[int]) -> Iterator[tuple[list, list]]:
+    """Both id lists cut into groups at their common ends."""
+    return zip((a_ids[i:j] for i, j in zip([0, *a_stops], a_stops)), (b_ids[i:j] for i, j in zip([0, *b_stops], b_stops)))
 
 
 def byte_level_entries(file: str) -> dict[int, bytes]:
@@ -60,6 +64,23 @@ def byte_level_entries(file: str) -> dict[int, bytes]:
     return {i: b"".join(map(value.__getitem__, entry)) for entry, i in vocab.items() if all(c in value for c in entry)}
 
 
+def rank_encoding(file: str, entries: dict[int, bytes]):
+    """The same vocabulary by ranks, if its ids are in the order of its merges; faster for plain letters."""
+    import json
+
+    import tiktoken
+    from public_tokenizers import PATTERN
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(file)
+    model = json.loads(tokenizer.to_str())["model"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    first = len(entries) - len(pairs)
+    if any(model["vocab"].get(a + b) != first + n for n, (a, b) in enumerate(pairs)):
+        return None
+    return tiktoken.Encoding("by-rank", pat_str=PATTERN, mergeable_ranks={raw: i for i, raw in entries.items()}, special_tokens={})
+
+
 def piece_entries(model) -> dict[int, bytes]:
     """The bytes of each id of a piece model."""
     found = {}
@@ -103,6 +124,7 @@ class Aligner:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         self.a_bytes, self.b_bytes = byte_level_entries(a_file), piece_entries(self.b)
+        self.a_lean = rank_encoding(a_file, self.a_bytes)
         self.width = self.b.get_piece_size()
         if any(b" " in raw.lstrip(b" ") for raw in self.b_bytes.values()):
             raise ValueError("a piece of the second vocabulary joins a space to what stands before it")
@@ -111,22 +133,39 @@ class Aligner:
         self.older: dict = {}
 
     def words(self, words: list[str]) -> list[tuple | None]:
-        """Per word behind a space: ids in A, in B, groups, their digits and their links' numbers; None if bytes differ."""
-        found, codes = [], []
-        encoded = self.a.encode_batch([" " + w for w in words], add_special_tokens=False)
-        for word, a, b_ids in zip(words, encoded, self.b.encode(words, num_threads=1)):
-            a_ids, raw = a.ids, b" " + word.encode()
-            a_parts, b_parts = list(map(self.a_bytes.get, a_ids)), list(map(self.b_bytes.get, b_ids))
-            if None in a_parts or None in b_parts or b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-                found.append(None)
-                continue
-            digits, first = [], len(codes)
-            for own, other in aligned(a_ids, list(accumulate(map(len, a_parts))), b_ids, list(accumulate(map(len, b_parts)))):
-                digits.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
-                codes.append(own[-1] * self.width + other[-1])
-            found.append((len(a_ids), len(b_ids), len(digits), ";".join(digits).encode(), (first, len(codes))))
-        numbers = np.searchsorted(self.pairs, np.array(codes, np.int64)).astype("<u4").tobytes()
-        return [x and (*x[:4], numbers[4 * x[4][0]:4 * x[4][1]]) for x in found]
+        """Per word behind a space: ids in A, in B, groups, their digits and their links' numbers; None if bytes differ.
+
+        Several words are encoded as one text, so only the last may end in white space.
+        """
+        if not words:
+            return []
+        raws = [b" " + w.encode() for w in words]
+        joined = b"".join(raws)
+        text = joined.decode()
+        # Up to here what is a letter is the same to all pattern libraries.
+        if self.a_lean and max(text) < _LATIN_END:
+            a_ids = self.a_lean.encode_ordinary(text)
+        else:
+            a_ids = self.a.encode(text, add_special_tokens=False).ids
+        b_ids = self.b.encode(text[1:], num_threads=1)
+        a_parts, b_parts = list(map(self.a_bytes.get, a_ids)), list(map(self.b_bytes.get, b_ids))
+        if None in a_parts or None in b_parts or b"".join(a_parts) != joined or b"".join(b_parts) != joined:
+            # One of the words is to blame: halve until it stands alone.
+            half = len(words) // 2
+            return self.words(words[:half]) + self.words(words[half:]) if half else [None]
+        ends, a_stops, b_stops = common_ends(list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts))))
+        digits = [f"{a[0] if len(a) == 1 else ','.join(map(str, a))}|{b[0] if len(b) == 1 else ','.join(map(str, b))}"
+                  for a, b in slices(a_ids, b_ids, a_stops, b_stops)]
+        # In a group only the last ids end together.
+        a_last, b_last = np.array(a_stops, np.int64), np.array(b_stops, np.int64)
+        links = np.array(a_ids, np.int64)[a_last - 1] * self.width + np.array(b_ids, np.int64)[b_last - 1]
+        numbers = np.searchsorted(self.pairs, links).astype("<u4").tobytes()
+        # A word ends where a token of A and one of B do.
+        last = np.searchsorted(np.array(ends), np.cumsum([len(r) for r in raws]))
+        n_a, n_b = (np.diff(x[last], prepend=0).tolist() for x in (a_last, b_last))
+        stops = (last + 1).tolist()
+        return [(a, b, j - i, ";".join(digits[i:j]).encode(), numbers[4 * i:4 * j])
+                for a, b, i, j in zip(n_a, n_b, [0, *stops], stops)]
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, bytes]]:
         """Per text: ids in A, in B, groups, the sha256 of the groups and the links' numbers."""
@@ -149,16 +188,19 @@ class Aligner:
         return sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(b";".join(digits)).hexdigest(), b"".join(numbers)
 
     def _learn(self, words: set[str]) -> dict:
-        """Have all words in the memo; those too long for it are returned."""
+        """Have all words in the memo; those too long for it, or with white space at the end, are returned."""
         if len(self.now) > MEMO_WORDS:
             self.older, self.now = self.now, {}
         new = words.difference(self.now)
         known = new.intersection(self.older)
         self.now.update((w, self.older[w]) for w in known)
-        new = list(new - known)
-        short = [w for w in new if len(w) <= MEMO_LENGTH]
-        self.now.update(zip(short, self.words(short)))
-        return {w: self.words([w])[0] for w in new if len(w) > MEMO_LENGTH}
+        new = new - known
+        short = [w for w in new if len(w) <= MEMO_LENGTH and not _OPEN_END.search(w)]
+        short.sort(key=lambda w: max(w, default="") >= _LATIN_END)
+        for start in range(0, len(short), WORDS_AT_ONCE):
+            some = short[start:start + WORDS_AT_ONCE]
+            self.now.update(zip(some, self.words(some)))
+        return {w: self.words([w])[0] for w in new if w not in self.now}
 
 
 def alignments(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:

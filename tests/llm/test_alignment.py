@@ -99,12 +99,14 @@ def test_memo_forgets_and_learns_again(monkeypatch):
     aligner = alignment.Aligner(BYTE_LEVEL, PIECES)
     texts = [" ".join(f"w{(i * 7 + k) % 60}" for k in range(9)) for i in range(50)]
     monkeypatch.setattr(alignment, "GROUP_CHARS", 1)
+    monkeypatch.setattr(alignment, "WORDS_AT_ONCE", 3)
     assert list(aligner.texts(texts)) == list(alignment.Aligner.of(BYTE_LEVEL, PIECES).texts(texts))
 
 
 def test_slices_of_a_known_case():
-    got = list(alignment.aligned([1, 2, 3], [2, 3, 6], [7, 8, 9], [3, 4, 6]))
-    assert got == [([1, 2], [7]), ([3], [8, 9])]
+    ends, a_stops, b_stops = alignment.common_ends([2, 3, 6], [3, 4, 6])
+    assert (ends, a_stops, b_stops) == ([3, 6], [2, 3], [1, 3])
+    assert list(alignment.slices([1, 2, 3], [7, 8, 9], a_stops, b_stops)) == [([1, 2], [7]), ([3], [8, 9])]
 
 
 def test_op12_empty_table(spark, empty_folder):
