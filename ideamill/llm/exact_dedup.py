@@ -95,9 +95,10 @@ def repeated_fingerprints(fingerprints: DataFrame, slice_bits: int = SLICE_BITS)
 
 
 def _with_print(docs: DataFrame) -> DataFrame:
-    """(row: all columns, text, print)"""
+    """(row: all columns, text, print, place)"""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.struct("*").alias("row"), text.alias("text"), F.xxhash64(text).alias("print"))
+    return docs.select(F.struct("*").alias("row"), text.alias("text"), F.xxhash64(text).alias("print"),
+                       F.monotonically_increasing_id().alias("place"))
 
 
 def duplicate_groups(docs: DataFrame) -> DataFrame:
@@ -121,6 +122,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = _with_print(docs)
     repeated = written(repeated_fingerprints(rows), "repeated")
     alone = rows.join(repeated.select("print"), "print", "left_anti").select("row.*")
-    order = F.struct("row.doc_id", F.xxhash64("row"))
+    order = F.struct("row.doc_id", "place")
     one = rows.join(repeated.select("print"), "print").groupBy("print", "text").agg(F.max_by("row", order).alias("row"))
     return alone.unionByName(one.select("row.*"))

@@ -67,15 +67,21 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, keep: list[str
     return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(run, schema)
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints: one word each, or a row of words."""
+    bits = np.bitwise_count(a ^ b)
+    return bits.astype(np.int64) if bits.ndim == 1 else bits.sum(axis=1, dtype=np.int64)
+
+
 class BkForest:
     """BK-trees over points sorted by group; the first point of a group is its root."""
 
     def __init__(self, points: np.ndarray, roots: np.ndarray):
-        self.points = points
+        self.points, self.bits = points, 64 * points[:1].size
         waiting = np.flatnonzero(roots != np.arange(len(points)))
         parent, codes, nodes = roots[waiting], [], []
         while len(waiting):
-            code = parent * 65 + np.bitwise_count(points[waiting] ^ points[parent])
+            code = parent * (self.bits + 1) + distances(points[waiting], points[parent])
             own, first, which = np.unique(code, return_index=True, return_inverse=True)
             child = waiting[first]
             codes.append(own)
@@ -90,11 +96,12 @@ class BkForest:
         """(query number, point number) of all matches in the query's tree."""
         found, query, node = [], np.arange(len(queries)), roots
         while len(query):
-            d = np.bitwise_count(queries[query] ^ self.points[node]).astype(np.int64)
+            d = distances(queries[query], self.points[node])
             hit = d <= radius
             found.append((query[hit], node[hit]))
-            first = np.searchsorted(self.codes, node * 65 + np.maximum(d - radius, 0), "left")
-            count = np.searchsorted(self.codes, node * 65 + np.minimum(d + radius, 64), "right") - first
+            edge = node * (self.bits + 1)
+            first = np.searchsorted(self.codes, edge + np.maximum(d - radius, 0), "left")
+            count = np.searchsorted(self.codes, edge + np.minimum(d + radius, self.bits), "right") - first
             query, d = np.repeat(query, count), np.repeat(first - (np.cumsum(count) - count), count)
             node = self.nodes[d + np.arange(len(d))]
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
@@ -111,7 +118,7 @@ def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = root[root]
 
 
-def _linked(group: np.ndarray, points: np.ndarray, in_tree: np.ndarray, asks: np.ndarray, radius: int) -> np.ndarray:
+def linked_rows(group: np.ndarray, points: np.ndarray, in_tree: np.ndarray, asks: np.ndarray, radius: int) -> np.ndarray:
     """For each row (sorted by group, tree rows first) a row it is linked to, itself if none."""
     root = np.arange(len(points))
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
@@ -165,7 +172,7 @@ def near_links(prints: DataFrame, tree_points: int = TREE_POINTS) -> DataFrame:
         order = np.lexsort((points, own != tree, asks, tree, shard))
         shard, tree, asks, own, points = (x[order] for x in (shard, tree, asks, own, points))
         new = np.r_[True, (shard[1:] != shard[:-1]) | (tree[1:] != tree[:-1]) | (asks[1:] != asks[:-1])]
-        root = _linked(np.cumsum(new), points, own == tree, own == asks, RADIUS)
+        root = linked_rows(np.cumsum(new), points, own == tree, own == asks, RADIUS)
         linked = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(points[x].view(np.int64), pa.int64()) for x in (linked, root[linked])], ["a", "b"])

@@ -360,15 +360,22 @@ def merged_spans(packed: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _identified(docs: DataFrame, *more: str) -> DataFrame:
-    """key, tie and row of each document, its text, and further columns."""
+    """key, tie and row of each document, its text, and further columns. Rows that are in no file are written once."""
+    named = docs.select("doc_id", "text", *more)
     try:
-        source = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), "doc_id", "text", *more)
+        source = _with_places(docs, named.columns)
     except AnalysisException:
-        return _identified(written(docs, "documents"), *more)
+        source = _with_places(written(named, "documents"), named.columns)
     return source.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)).alias("key"), F.xxhash64("file").alias("tie"),
                          "row", "text", "doc_id", *more)
 
 
+def _with_places(docs: DataFrame, columns: list[str]) -> DataFrame:
+    # The hidden column of the files, also beside a column of that name.
+    place = docs.metadataColumn("_metadata")
+    return docs.select(place["file_path"].alias("file"), place["row_index"].alias("row"), *columns)
+
+
 _RUN = np.dtype([("hash", "<u8"), ("first", "<i8"), ("windows", "<i4"), ("deal", "<i4")])
 
 

@@ -11,7 +11,7 @@ import corpus_pipeline
 from ideamill.llm import toxicity
 from ideamill.llm.common import table
 from ideamill.llm.queries import VOCABULARY
-from tests.llm.test_duplicates import plain_components, plain_print
+from tests.llm.test_near_copies import plain_groups
 from tests.llm.test_substrings import plain
 
 DATA = "/root/testdata/sf0.001"
@@ -26,8 +26,8 @@ def test_stages_against_plain_ones(spark):
     rows = {t: d for d, t in sorted(rows)}
     rows = sorted((d, t) for t, d in rows.items())
     groups = defaultdict(list)
-    for row, root in zip(rows, plain_components([plain_print(t) for _, t in rows])):
-        groups[root].append(row)
+    for n, (row, root) in enumerate(zip(rows, plain_groups([t for _, t in rows]))):
+        groups[n if root is None else -1 - root].append(row)
     rows = sorted(min(g) for g in groups.values())
     texts = [kept.decode("utf-8", "ignore") for kept, _, _ in plain([t.encode() for _, t in rows])]
     library = Tokenizer.from_file(VOCABULARY)
@@ -48,6 +48,11 @@ def test_stages_return_the_columns_of_documents(spark, edge_folder):
     assert set(ids) == set(range(ids.max() + 1))
 
 
+def test_pipeline_on_an_empty_table(spark, empty_folder):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{empty_folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, empty_folder).count() == 0
+
+
 def test_the_rest_works_without_the_package():
     code = """
 import sys

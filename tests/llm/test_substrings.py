@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
@@ -143,3 +144,15 @@ def test_stages_keep_columns_of_any_name(spark):
 def test_empty_table(spark, empty_folder):
     assert QUERIES["op7_suffix_arrays"](spark, empty_folder).count() == 0
     assert substrings.keep_first(spark.read.parquet(f"{empty_folder}/documents.parquet")).count() == 0
+
+
+def test_rows_in_no_file_are_written_once(spark, edge_docs, monkeypatch):
+    """An own column named like the hidden one, a map column, and a table without texts."""
+    calls = []
+    real = substrings.written
+    monkeypatch.setattr(substrings, "written", lambda df, name, **k: calls.append(name) or real(df, name, **k))
+    docs = edge_docs.select("doc_id", "text", F.lit(1).alias("_metadata"), F.create_map(F.lit("k"), "doc_id").alias("held"))
+    got = substrings.keep_first(docs)
+    assert got.columns == docs.columns and got.count() == docs.count() and calls.count("documents") <= 1
+    with pytest.raises(AnalysisException):
+        substrings.keep_first(edge_docs.drop("text"))
