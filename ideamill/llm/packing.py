@@ -33,17 +33,24 @@ def pieces(docs: DataFrame, file: str, end_id: int, length: int, keep_ids: bool
         library = LibraryIds.of(file)
         end = np.array([end_id], library.dtype).tobytes()
         for b in batches:
-            rows: list[list] = [[] for _ in range(6)]
-            for key, packed in zip(b.column(0).to_pylist(), library.encode(raw_texts(b.column(1)))):
+            counts, checks, kept = [], [], []
+            for packed in library.encode(raw_texts(b.column(1))):
                 ids = np.frombuffer(packed + end, library.dtype).astype("<u4")
+                counts.append(len(ids))
                 for start in range(0, len(ids), length):
                     piece = ids[start:start + length]
-                    for column, value in zip(rows, (key, start, len(piece), zlib.crc32(piece.tobytes()), len(ids),
-                                                    piece.astype(np.int32) if keep_ids else None)):
-                        column.append(value)
-            kinds = [b.column(0).type, *[pa.int64()] * 4, pa.list_(pa.int32())]
-            arrays = [pa.array(x, t) for x, t in zip(rows, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays[:5 + keep_ids], names[:5 + keep_ids])
+                    checks.append(zlib.crc32(piece))
+                    if keep_ids:
+                        kept.append(piece.astype(np.int32))
+            total = np.array(counts, np.int64)
+            parts = -(-total // length)
+            row = np.repeat(np.arange(len(total)), parts)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * length
+            arrays = [b.column(0).take(pa.array(row)), *map(pa.array, (start, np.minimum(length, total[row] - start))),
+                      pa.array(checks, pa.int64()), pa.array(total[row])]
+            if keep_ids:
+                arrays.append(pa.array(kept, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(arrays, names[:len(arrays)])
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
     kind = docs.schema["doc_id"].dataType.simpleString()

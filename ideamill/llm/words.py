@@ -7,6 +7,7 @@ worker and then found in a bounded memo.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -55,14 +56,6 @@ def letters_of(word: bytes) -> str | None:
     return None
 
 
-def stem_and_end(word: bytes) -> tuple[bytes, bytes]:
-    """The word cut before its final marks if only letters come before them, else the word and nothing."""
-    stem = word.rstrip(_ENDS)
-    if stem and len(stem) < len(word) and (stem.isalpha() or letters_of(stem)):
-        return stem, word[len(stem):]
-    return word, b""
-
-
 class WordMemo:
     """word -> value for the words of texts, made once per worker for many words at a time.
 
@@ -98,29 +91,55 @@ class WordMemo:
             known = new.intersection(older)
             now.update((w, older[w]) for w in known)
             new -= known
-        plain, cut = {}, []
-        for word in new:
-            self._sort_out(word, plain, cut)
-        for stem, end in {(s, e) for _, s, e in cut}:
-            for part in (stem, end):
-                if part not in now and part not in plain:
-                    self._sort_out(part, plain, None)
+        plain, cut, ends = {w: w.lower().decode() for w in new if w.isalpha()}, [], set()
+        for word in new.difference(plain):
+            stem = word.rstrip(_ENDS)
+            if stem and len(stem) < len(word):
+                if stem not in plain:
+                    if stem.isalpha():
+                        if stem not in now:
+                            plain[stem] = stem.lower().decode()
+                    elif letters := letters_of(stem):
+                        plain[stem] = letters
+                    else:
+                        self._whole(word)
+                        continue
+                end = word[len(stem):]
+                ends.add(end)
+                cut.append((word, stem, end))
+            elif letters := letters_of(word):
+                plain[word] = letters
+            else:
+                self._whole(word)
+        for end in ends.difference(now):
+            self._whole(end)
         now.update(zip(plain, self.letters(list(plain.values()))))
         now.update((w, self.both(now[s], now[e])) for w, s, e in cut)
 
-    def _sort_out(self, word: bytes, plain: dict, cut: list | None) -> None:
-        if word.isalpha():
-            plain[word] = word.lower().decode()
-            return
-        if cut is not None:
-            stem, end = stem_and_end(word)
-            if end:
-                cut.append((word, stem, end))
-                return
-        if letters := letters_of(word):
-            plain[word] = letters
-        else:
-            self.now[word] = self.whole(word.decode("utf-8", "replace"))
+    def _whole(self, word: bytes) -> None:
+        self.now[word] = self.whole(word.decode("utf-8", "replace"))
+
+
+def rank_encoding(tokenizer, end: str = "</w>", mark: bytes = b"\x01"):
+    """The vocabulary by ranks for words that a mark follows, if its ids are in the order of its merges, else None.
+
+    Joining the lowest rank first is what the merges do; the mark stands for the end of a word and may not be in it.
+    """
+    import tiktoken
+
+    value = {m: bytes([b]) for b, m in enumerate(byte_marks())}
+    model = json.loads(tokenizer.to_str())["model"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    places = [model["vocab"].get(a + b, -1) for a, b in merges]
+    if places != sorted(places) or -1 in places or model["vocab"][mark_name := byte_marks()[mark[0]]] >= places[0]:
+        return None
+    ranks = {}
+    for token, i in model["vocab"].items():
+        stem, tail = (token.removesuffix(end), mark) if token.endswith(end) else (token, b"")
+        if stem != mark_name and all(c in value for c in stem):
+            ranks[b"".join(value[c] for c in stem) + tail] = i
+    ranks[mark] = model["vocab"][mark_name]
+    return tiktoken.Encoding("words", pat_str=r"[^\x01]+\x01", mergeable_ranks=ranks, special_tokens={})
 
 
 class LibraryIds:
@@ -143,6 +162,7 @@ class LibraryIds:
             t.no_truncation()
             t.no_padding()
         # For words that no normalizer changes: the same model behind a split at spaces.
+        self.ranks = rank_encoding(self.tokenizer)
         self.lean.normalizer = None
         self.lean.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -156,7 +176,11 @@ class LibraryIds:
         width = self.dtype.itemsize
         for i in range(0, len(words), 1_000):
             some = words[i:i + 1_000]
-            ids = np.array(self.lean.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
+            if self.ranks:
+                found = self.ranks.encode_ordinary("\x01".join([*some, ""]))
+            else:
+                found = self.lean.encode(" ".join(some), add_special_tokens=False).ids
+            ids = np.array(found, self.dtype)
             stops = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
             if len(stops) != len(some):
                 raise ValueError("the vocabulary doesn't mark word ends")
