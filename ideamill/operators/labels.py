@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ideamill.functions.text import (
     PROMPT_LINE, fill_template, flatten_label_ideas, parse_label_answer, prompt_text,
@@ -13,8 +15,7 @@ from ideamill.functions.text import (
 )
 from ideamill.operators.numbering import chunk_number, values_before
 from ideamill.operators.reshape import keep_first
-from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, task_count
-from ideamill.sources.tables import written
+from ideamill.settings import CHUNK_ROWS, HOT_GROUP_ROWS, scratch_path, task_count
 
 
 def description_or_solution(solution: Column, description: Column) -> Column:
@@ -77,54 +78,92 @@ def prompts(texts: DataFrame, group: list[str], first: str, following: str,
 
 def live_answers(texts: DataFrame, group: list[str], first: str, following: str,
                  answer: Callable[[str], str],
-                 read_label: Callable[[str], tuple[str, str] | None]) -> DataFrame:
-    """Ask the caller's model chunk by chunk; each prompt carries the label of the chunk before.
-
-    Clusters are spread over the partitions and streamed in chunk order: a task holds one batch
-    and the last label, never a whole cluster. Every answer waits for the one before, so one
-    cluster is one sequence, however many chunks it has. An answer that ``read_label`` can't read
-    (None or a ValueError, LookupError or TypeError) is stored as it came and leaves the label.
+                 read_label: Callable[[str], tuple[str, str] | None],
+                 chunks_per_wave: int = 1, folder: str | None = None) -> DataFrame:
+    """Ask the caller's model in waves; each prompt carries the label of the chunk before.
+
+    A wave asks the next ``chunks_per_wave`` chunks of all clusters at once and writes the answers with
+    the labels they leave; the next wave joins them. A lost executor repeats its part of one wave, and a
+    run with a ``folder`` goes on after the waves that an earlier run left whole there. Chunks of a
+    cluster are numbered from 0 without gaps, as chunk_ideas does. An answer that ``read_label`` can't
+    read (None or a ValueError, LookupError or TypeError) is stored as it came and leaves the label.
     """
-    keys = [f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields
-            if f.name in group]
+    spark, tasks = texts.sparkSession, task_count(texts.sparkSession)
+    folder = (folder or scratch_path(spark, "answers")).rstrip("/")
+    asked = StructType([
+        *[texts.schema[g] for g in group], *StructType.fromDDL("chunk long, answer string"), *StructType.fromDDL(LABEL)])
+    waves = scratch_path(spark, "waves")
+    numbered = texts.select(*group, "chunk", "ideas").withColumn("wave", F.floor(F.col("chunk") / chunks_per_wave))
+    numbered.repartition(tasks, "wave", *group).write.partitionBy("wave").parquet(waves)
+    numbered = spark.read.schema(numbered.schema).parquet(waves)
+    # As many numbers as the longest cluster has waves.
+    sizes = {r["wave"]: r["count"] for r in numbered.groupBy("wave").count().collect()}
+    for wave in sorted(sizes):
+        if _wave_rows(spark, folder, wave, asked) == sizes[wave]:
+            continue
+        rows = numbered.where(F.col("wave") == wave).drop("wave")
+        before = _wave(spark, folder, wave - 1, asked) if wave else spark.createDataFrame([], asked)
+        label = before.groupBy(*group).agg(F.max_by(F.struct("label_name", "label_text"), "chunk").alias("label")).select(
+            *group, "label.*")
+        placed = rows.join(label, group, "left").repartition(tasks, *group).sortWithinPartitions(*group, "chunk")
+        placed.mapInPandas(_ask(group, first, following, answer, read_label), asked).write.mode("overwrite").parquet(
+            f"{folder}/wave={wave}")
+    if not sizes:
+        return spark.createDataFrame([], asked).select(*group, "chunk", "answer")
+    return spark.read.schema(asked).parquet(folder).select(*group, "chunk", "answer")
+
+
+LABEL = "label_name string, label_text string"
+
+
+def _wave(spark: SparkSession, folder: str, wave: int, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/wave={wave}")
+
+
+def _wave_rows(spark: SparkSession, folder: str, wave: int, schema: StructType) -> int:
+    """Rows an earlier run left; a broken one leaves none, as files appear when the write ends."""
+    try:
+        return _wave(spark, folder, wave, schema).count()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+
+
+def _ask(group: list[str], first: str, following: str, answer, read_label):
+    def filled(template, **values):
+        return "".join(values[part] if is_mark else part
+                       for part, is_mark in template_parts(template, values))
+
+    def read(reply):
+        try:
+            return read_label(reply)
+        except (ValueError, LookupError, TypeError):
+            return None
 
     def ask(batches):
         import pandas as pd
 
-        def filled(template, **values):
-            return "".join(values[part] if is_mark else part
-                           for part, is_mark in template_parts(template, values))
-
-        def read(reply):
-            try:
-                return read_label(reply)
-            except (ValueError, LookupError, TypeError):
-                return None
-
-        last_key, label = None, None
+        last_key = label = None
         for pdf in batches:
-            replies = []
+            replies, labels = [], []
             for row in pdf.to_dict("records"):
                 key = tuple(row[g] for g in group)
                 if key != last_key:
-                    last_key, label = key, None
+                    last_key = key
+                    label = (row["label_name"], row["label_text"]) if isinstance(row["label_name"], str) else None
                 prompt = filled(first, ideas=row["ideas"]) if label is None else filled(
-                    following, ideas=row["ideas"], cluster_name=label[0] or "",
+                    following, ideas=row["ideas"], cluster_name=label[0],
                     cluster_description=label[1] or "")
                 reply = answer(prompt)
-                label = read(reply) or label
+                if found := read(reply):
+                    label = found[0] or "", found[1]
                 replies.append(reply)
-            yield pd.DataFrame({**{g: pdf[g] for g in group}, "chunk": pdf["chunk"],
-                                "answer": replies})
+                labels.append(label or (None, None))
+            yield pd.DataFrame({**{g: pdf[g] for g in group}, "chunk": pdf["chunk"], "answer": replies,
+                                "label_name": [x[0] for x in labels], "label_text": [x[1] for x in labels]})
 
-    placed = (
-        texts.select(*group, "chunk", "ideas")
-        .repartition(task_count(texts.sparkSession), *group)
-        .sortWithinPartitions(*group, "chunk")
-    )
-    # Written once: later steps read the answers several times, the model is asked once.
-    return written(placed.mapInPandas(
-        ask, ", ".join([*keys, "chunk long", "answer string"])), "answers")
+    return ask
 
 
 def label_ideas(chunked: DataFrame, answers: DataFrame, group: list[str]) -> DataFrame:

@@ -11,6 +11,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
+
+from ideamill.settings import HOT_GROUP_ROWS
+from ideamill.sources.tables import written
 
 
 def new_records(source: DataFrame, loaded: DataFrame, keys: str | list[str]) -> DataFrame:
@@ -25,16 +29,28 @@ def known_rows(source: DataFrame, known: DataFrame, on: Mapping[str, str]) -> Da
     return source.join(keys.distinct(), list(on), "left_semi")
 
 
-def left_join_many(left: DataFrame, right: DataFrame, keys: str | list[str]) -> DataFrame:
-    """Left join with a right side of many rows per key.
+def left_join_many(left: DataFrame, right: DataFrame, keys: str | list[str],
+                   hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Left join with a right side of many rows per key; both sides are read once.
 
-    An outer join cannot split a hot key of its right side. The inner join can, on both sides;
-    the rows of the left side without a match are added to it.
+    An outer join cannot split a hot key of its right side. Keys of more than ``hot_rows`` rows there are
+    counted first, combined map-side. Their rows are dealt to parts by hash, and a left row of such a key
+    meets every part; copies whose part holds none of the key's rows are dropped, as another part does.
     """
     keys = [keys] if isinstance(keys, str) else keys
-    matched = left.join(right, keys)
-    alone = new_records(left, right, keys)
-    return matched.unionByName(alone, allowMissingColumns=True)
+    hot = right.groupBy(*keys).count().where(F.col("count") > hot_rows).select(
+        *keys, F.ceil(F.col("count") / hot_rows).cast("int").alias("_parts"))
+    if hot.isEmpty():
+        return left.join(right, keys, "left")
+    # One row per hot key: at most a hot_rows-th of the right side's rows.
+    hot = written(hot, "hot-keys")
+    row = F.xxhash64(*[f.name for f in right.schema.fields if not isinstance(f.dataType, MapType)])
+    dealt = right.join(hot, keys, "left").withColumns({
+        "_part": F.coalesce(F.pmod(row, "_parts").cast("int"), F.lit(0)), "_met": F.lit(True)}).drop("_parts")
+    copies = left.join(hot, keys, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    joined = copies.join(dealt, [*keys, "_part"], "left").where(F.col("_parts").isNull() | F.col("_met"))
+    return joined.drop("_part", "_parts", "_met")
 
 
 def unique_lookup(lookup: DataFrame, keys: list[str], value: str, order: str | None = None

@@ -51,28 +51,26 @@ def _numbered_by_ranges(df: DataFrame, group: list[str], order: list[str],
         placed = _placed(source, group + order + rest)
     else:
         placed = _placed(df.withColumn("_copies", F.lit(1).cast("long")), group + order, rest)
-    earlier_places = Window.partitionBy(*group, "_range").orderBy("_place").rowsBetween(
-        Window.unboundedPreceding, -1)
     earlier_ranges = Window.partitionBy(*group).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1)
-    # Only the first group of a range can have rows in earlier ranges, so this table has at
-    # most one row per range and is safe to broadcast.
-    before = (
-        placed.groupBy(*group, "_range").agg(F.sum("_copies").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(earlier_ranges))
-        .where("_before > 0")
+    # One row per group and range that meet: a hot group has as many as there are ranges.
+    starts = (
+        placed.groupBy(*group, "_range").agg(F.sum("_copies").alias("_n"), F.min("_place").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier_ranges), F.lit(0)))
         .select(*[F.col(g).alias(f"_g_{g}") for g in group],
-                F.col("_range").alias("_r"), "_before")
+                F.col("_range").alias("_r"), "_first", "_before")
     )
     same = F.col("_range") == F.col("_r")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    inside = F.coalesce(F.sum("_copies").over(earlier_places), F.lit(0))
-    started = (
-        placed.withColumn("_inside", inside).join(F.broadcast(before), same, "left")
-        .select(*df.columns, "_copies",
-                (F.col("_inside") + F.coalesce("_before", F.lit(0))).alias("_start"))
-    )
+    inside = F.col("_place") - F.col("_first")
+    if tied:
+        # A merged row stands for several places.
+        earlier_places = Window.partitionBy(*group, "_range").orderBy("_place").rowsBetween(
+            Window.unboundedPreceding, -1)
+        inside = F.coalesce(F.sum("_copies").over(earlier_places), F.lit(0))
+    started = placed.join(starts, same).withColumn("_inside", inside).select(
+        *df.columns, "_copies", (F.col("_inside") + F.col("_before")).alias("_start"))
     if tied:
         return _spread_copies(started, df.columns, name)
     return started.select(*df.columns, (F.col("_start") + 1).cast("long").alias(name))

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,10 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ideamill.functions.vectors import vector_digest
-from ideamill.operators.clustering import SEED, block_pairs
-from ideamill.settings import CELL_POINTS
+from ideamill.operators.clustering import block_pairs, with_points
+from ideamill.operators.kmeans import SEED, fit_groups, labelled, prepared
+from ideamill.operators.silhouettes import silhouette_points
+from ideamill.settings import BLOCK_POINTS
+from ideamill.sources.tables import written
 
-PARALLEL_FITS = 5
+# Restarts and rounds of a sweep's fits.
+SWEEP_RESTARTS, SWEEP_ROUNDS = 10, 300
 
 
 def _features(df: DataFrame, vector: str) -> DataFrame:
@@ -25,36 +24,39 @@ def _features(df: DataFrame, vector: str) -> DataFrame:
         "features", array_to_vector(F.col(vector).cast("array<double>")))
 
 
-def _sweep(df: DataFrame, counts: list[int], rounds: int, seed: int, score) -> list[tuple]:
-    """``score(model, df)`` of one fit per number of clusters; the fits run side by side."""
-    def fit(k: int) -> tuple[int, float]:
-        return k, float(score(KMeans(k=k, maxIter=rounds, seed=seed).fit(df), df))
+def sweep_labels(df: DataFrame, group: str, vector: str, least: int, most: int, restarts: int = SWEEP_RESTARTS,
+                 rounds: int = SWEEP_ROUNDS, seed: int = SEED, block_points: int = BLOCK_POINTS
+                 ) -> tuple[DataFrame, DataFrame]:
+    """K-means of every group for ``least`` to ``most`` clusters, all fits in one job.
 
-    with ThreadPool(min(len(counts), PARALLEL_FITS)) as pool:
-        return pool.map(inheritable_thread_target(df.sparkSession)(fit), counts)
+    Gives the written points (group, point, vector, weight) and their labels (group, k, point, cluster,
+    distance). A group has fits up to its number of distinct vectors; rows without group or vector are left out.
+    """
+    points, sizes, blocks = prepared(with_points(df, group, vector), group, vector, block_points)
+    counts = F.explode(F.sequence(F.lit(least).cast("long"), F.lit(most).cast("long")))
+    fits = sizes.withColumn("clusters", counts).where("clusters <= n_points")
+    centers = fit_groups(points, blocks, fits, group, restarts, rounds, seed, block_points)
+    labels = labelled(blocks, centers, group, ["clusters"], block_points)
+    return points, written(labels.withColumnRenamed("clusters", "k"), "sweep")
 
 
-def elbow_sweep(df: DataFrame, vector: str, most: int = 10, rounds: int = 300,
-                seed: int = SEED) -> DataFrame:
-    """Within-cluster sum of squares for 1 to ``most`` clusters of all rows."""
-    data = _features(df, vector).select("features").persist()
-    rows = _sweep(data, list(range(2, most + 1)), rounds, seed,
-                  lambda model, _: model.summary.trainingCost)
-    data.unpersist()
-    one = within_sum_of_squares(df.where(F.col(vector).isNotNull()), [], vector).select(
-        F.lit(1).cast("long").alias("k"), "wss")
-    return one.unionByName(df.sparkSession.createDataFrame(rows, "k long, wss double"))
+def elbow_sweep(df: DataFrame, group: str, vector: str, most: int = 10, **options) -> DataFrame:
+    """Within-cluster sum of squares of each group for 1 to ``most`` clusters: (group, k, wss)."""
+    points, labels = sweep_labels(df, group, vector, 1, most, **options)
+    weighted = labels.join(points.select(group, "point", "weight"), [group, "point"])
+    return weighted.groupBy(group, "k").agg(
+        F.sum(F.col("weight") * F.col("distance") * F.col("distance")).alias("wss"))
 
 
-def silhouette_sweep(df: DataFrame, vector: str, most: int = 10, rounds: int = 300,
-                     seed: int = SEED) -> DataFrame:
-    """Mean silhouette (squared Euclidean distance) for 2 to ``most`` clusters of all rows."""
-    data = _features(df, vector).select("features").persist()
-    judge = ClusteringEvaluator(distanceMeasure="squaredEuclidean")
-    rows = _sweep(data, list(range(2, most + 1)), rounds, seed,
-                  lambda model, d: judge.evaluate(model.transform(d)))
-    data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k long, silhouette double")
+def silhouette_sweep(df: DataFrame, group: str, vector: str, most: int = 10, block_points: int = BLOCK_POINTS,
+                     **options) -> DataFrame:
+    """Mean Euclidean silhouette of each group for 2 to ``most`` clusters: (group, k, silhouette)."""
+    points, labels = sweep_labels(df, group, vector, 2, most, block_points=block_points, **options)
+    rows = labels.join(points, [group, "point"]).select(group, "k", "point", "cluster", "weight", "vector")
+    found = silhouette_points(rows, [group, "k"], block_points)
+    weight = F.col("weight")
+    return found.groupBy(group, "k").agg(
+        (F.sum(F.col("silhouette") * weight) / F.sum(weight)).alias("silhouette"))
 
 
 def within_sum_of_squares(df: DataFrame, groups: list[str], vector: str) -> DataFrame:
@@ -71,7 +73,7 @@ def within_sum_of_squares(df: DataFrame, groups: list[str], vector: str) -> Data
 
 
 def silhouette(df: DataFrame, group: str, cluster: str, vector: str,
-               block: int = CELL_POINTS) -> DataFrame:
+               block: int = BLOCK_POINTS) -> DataFrame:
     """Silhouette of every row inside its group, under a given labelling (squared Euclidean).
 
     The mean distance to a cluster follows from its size, its vector sum and its sum of squares,
@@ -126,6 +128,23 @@ def silhouette(df: DataFrame, group: str, cluster: str, vector: str,
     )
 
 
+def euclidean_silhouette(df: DataFrame, group: str, cluster: str, vector: str,
+                         block_points: int = BLOCK_POINTS) -> DataFrame:
+    """Silhouette of every row inside its group, under a given labelling, by plain Euclidean distance.
+
+    Rows without a group, a cluster or a vector have none. Copies count as rows: each is at distance zero
+    from the others.
+    """
+    rows = df.withColumn("_x", F.col(vector).cast("array<double>")).withColumn("_point", vector_digest(F.col("_x")))
+    points = rows.where(F.col(group).isNotNull() & F.col(cluster).isNotNull() & F.col("_x").isNotNull()).groupBy(
+        group, F.col(cluster).alias("cluster"), F.col("_point").alias("point")).agg(
+        F.first("_x").alias("vector"), F.count("*").alias("weight"))
+    found = silhouette_points(written(points, "points"), [group], block_points).select(
+        F.col(group).alias("_group"), F.col("cluster").alias("_cluster"), F.col("point").alias("_found"), "silhouette")
+    same = (F.col(group) == F.col("_group")) & (F.col(cluster) == F.col("_cluster")) & (F.col("_point") == F.col("_found"))
+    return rows.join(found, same, "left").select(*df.columns, "silhouette")
+
+
 def project_2d(df: DataFrame, vector: str) -> DataFrame:
     """Add ``pc1`` and ``pc2``: the first two principal components."""
     data = _features(df, vector)

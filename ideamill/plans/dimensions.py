@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ideamill.functions.values import company_name, day_of
-from ideamill.operators.history import validity
+from ideamill.operators.history import validity, with_default_goal
 from ideamill.operators.lookup import look_up, new_records
 from ideamill.operators.numbering import surrogate_keys
 from ideamill.operators.reshape import keep_first
@@ -42,15 +42,20 @@ def user_rows(source: DataFrame, companies: DataFrame, loaded: DataFrame, run: d
         validity(rows.withColumn("country", F.lit("")), run), loaded, ["user_db_id"])
 
 
-def goal_rows(source: DataFrame, companies: DataFrame, loaded: DataFrame, run: date
-              ) -> DataFrame:
-    """Source columns: goal_db_id, company_id (business key), goal_name, ..., updated_at."""
+def goal_rows(source: DataFrame, companies: DataFrame, loaded: DataFrame, run: date,
+              default_member: bool = False) -> DataFrame:
+    """Source columns: goal_db_id, company_id (business key), goal_name, ..., updated_at.
+
+    With ``default_member`` the load that finds no member 'no goal' adds it.
+    """
     new = new_records(source, loaded, "goal_db_id")
     new = keep_first(new, ["goal_db_id"], ["goal_db_id", "updated_at"])
     found = look_up(new, companies, {"company_id": "company_db_id"}, "id", "_company")
     named = found.withColumn("company_id", F.col("_company")).drop("_company")
-    rows = _days(named, ["end_campaign", "created_at", "updated_at"])
-    return surrogate_keys(validity(rows, run), loaded, ["goal_db_id"])
+    rows = validity(_days(named, ["end_campaign", "created_at", "updated_at"]), run)
+    if default_member:
+        rows = new_records(with_default_goal(rows), loaded, "goal_db_id")
+    return surrogate_keys(rows, loaded, ["goal_db_id"])
 
 
 def category_rows(source: DataFrame, companies: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -14,14 +14,16 @@ from ideamill.functions.values import (
     compact_left, known_key, moment_of, normalise_missing, not_blank, timestamp_or,
 )
 from ideamill.functions.vectors import vector_to_text
-from ideamill.operators.embedding import classify_by_keywords, classify_fields, text_digest
+from ideamill.operators.embedding import (
+    classify_by_keywords, classify_fields, embed_texts, text_digest, unseen_texts,
+)
 from ideamill.operators.history import validity
 from ideamill.operators.lookup import known_rows, look_up, new_records
 from ideamill.operators.numbering import surrogate_keys
 from ideamill.operators.reshape import pivot_first
 from ideamill.plans.forms import answers_of_companies, idea_attributes
 from ideamill.settings import LOOKUP_MISS, MAX_TIMESTAMP, UNUSED_CATEGORIES
-from ideamill.sources.tables import written
+from ideamill.sources.tables import append_rows, written
 
 
 def new_answers(answers: DataFrame, fields: DataFrame, ideas: DataFrame, companies: DataFrame,
@@ -56,40 +58,54 @@ def categorised_answers(answers: DataFrame, class_table: DataFrame) -> DataFrame
     return found.where(~F.col("category").isin(*UNUSED_CATEGORIES))
 
 
-def wide_ideas(answers: DataFrame, vectors: DataFrame, attributes: DataFrame) -> DataFrame:
-    """One row per idea: attributes, six problems, six solutions and their vectors.
+def wide_ideas(answers: DataFrame, vectors: DataFrame | None, attributes: DataFrame) -> DataFrame:
+    """One row per idea: attributes, six problems, six solutions and the digests of their vectors.
 
     ``answers`` carry a category, ``vectors`` map text digests to vectors, ``attributes`` hold
-    one row per idea. The pivot sees digests; vectors meet only those that it keeps. The result is
-    a written table, as several consumers read it.
+    one row per idea. The pivot and all that follows sees digests; with_vectors() puts vectors in
+    their place. Without ``vectors`` the digests are NULL. The rows are a plan: a consumer of a few
+    columns computes no more, several consumers write it first.
     """
-    embedded = vectors.where("vector IS NOT NULL")
-    known = embedded.select(F.col("digest").alias("known")).distinct()
-    key = F.when(not_blank(F.col("field_answer")), text_digest(F.col("field_answer")))
-    marked = answers.withColumn("_digest", key).join(known, F.col("_digest") == F.col("known"), "left")
-    per_idea = written(pivot_first(
+    if vectors is None:
+        marked = answers.withColumn("known", F.lit(None).cast("string"))
+    else:
+        known = vectors.where("vector IS NOT NULL").select(F.col("digest").alias("known")).distinct()
+        key = F.when(not_blank(F.col("field_answer")), text_digest(F.col("field_answer")))
+        marked = answers.withColumn("_digest", key).join(known, F.col("_digest") == F.col("known"), "left")
+    per_idea = pivot_first(
         marked.withColumns({
             "name": F.col("idea_name"), "description": F.col("field_answer"),
             "category_name": F.col("category")}),
         ["idea_id"], "category_name", ["field_id"],
         {"field_answer": schemas.TEXT_COLUMN_OF, "known": schemas.VECTOR_COLUMN_OF},
         others=["company_id", "name", "description", "category", "created_at", "updated_at"],
-        ties={"known": "field_answer"}), "wide-texts")
-    joined = (
-        per_idea.drop(*schemas.VECTOR_COLUMNS)
-        .join(kept_vectors(per_idea, embedded), "idea_id", "left")
-        .join(attributes, "idea_id", "left").withColumnRenamed("idea_id", "idea_db_id"))
-    return written(compact_left(normalise_missing(joined), schemas.FAMILIES), "wide")
+        ties={"known": "field_answer"})
+    joined = per_idea.join(attributes, "idea_id", "left").withColumnRenamed("idea_id", "idea_db_id")
+    return compact_left(normalise_missing(joined), schemas.FAMILIES)
+
 
+def with_vectors(wide: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The written wide rows with vectors for the digests in their vector columns.
 
-def kept_vectors(per_idea: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Per idea the vectors of the digests in its vector columns, in columns of the same names."""
+    A slot meets its vector by digest; an idea's slots come back as one list, so vectors move once.
+    """
     slots = F.explode(F.array(*[
         F.struct(F.lit(c).alias("slot"), F.col(c).alias("digest")) for c in schemas.VECTOR_COLUMNS]))
-    wanted = per_idea.select("idea_id", slots.alias("_kept")).select("idea_id", "_kept.*").where(
+    wanted = wide.select("idea_db_id", slots.alias("_kept")).select("idea_db_id", "_kept.*").where(
         "digest IS NOT NULL")
-    return wanted.join(vectors.select("digest", "vector"), "digest").groupBy("idea_id").agg(*[
-        F.max(F.when(F.col("slot") == c, F.col("vector"))).alias(c) for c in schemas.VECTOR_COLUMNS])
+    held = wanted.join(vectors.where("vector IS NOT NULL").select("digest", "vector"), "digest").groupBy(
+        "idea_db_id").agg(F.collect_list(F.struct("slot", "vector")).alias("_vectors"))
+
+    def of_slot(name: str) -> Column:
+        return F.array_max(F.filter("_vectors", lambda v: v["slot"] == name))["vector"]
+
+    return wide.join(held, "idea_db_id", "left").withColumns({
+        c: of_slot(c) for c in schemas.VECTOR_COLUMNS}).drop("_vectors")
+
+
+def fill_vectors(answers: DataFrame, vectors: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:
+    """Vectors, written, for the answer texts that have none yet; each distinct text is asked once."""
+    return embed_texts(unseen_texts(answers, "field_answer", vectors), embed)
 
 
 def idea_dimension_rows(wide: DataFrame, loaded: DataFrame, run: datetime,
@@ -124,11 +140,20 @@ def submission_stage(wide: DataFrame, companies: DataFrame, goals: DataFrame) ->
 
 def load_ideas(answers: DataFrame, class_table: DataFrame, vectors: DataFrame,
                ideas: DataFrame, tags: DataFrame, ideas_tags: DataFrame, dim_idea: DataFrame,
-               companies: DataFrame, goals: DataFrame, run: datetime
+               companies: DataFrame, goals: DataFrame, run: datetime,
+               embed: Callable[[Column], Column] | None = None, vector_table: str | None = None
                ) -> tuple[DataFrame, DataFrame]:
-    """Rows for the idea dimension and the submission stage."""
-    wide = wide_ideas(
-        categorised_answers(answers, class_table), vectors,
-        idea_attributes(ideas, tags, ideas_tags))
-    return (idea_dimension_rows(wide, dim_idea, run),
+    """Rows for the idea dimension and the submission stage.
+
+    With ``embed``, texts without a vector get one from the caller first; ``vector_table`` is the
+    path of the vector table that the new vectors are added to.
+    """
+    given = categorised_answers(answers, class_table)
+    if embed:
+        made = fill_vectors(given, vectors, embed)
+        if vector_table:
+            append_rows(made, vector_table, ["digest", "vector"])
+        vectors = vectors.select("digest", "vector").unionByName(made)
+    wide = written(wide_ideas(given, vectors, idea_attributes(ideas, tags, ideas_tags)), "wide")
+    return (idea_dimension_rows(with_vectors(wide, vectors), dim_idea, run),
             submission_stage(wide, companies, goals))

@@ -51,8 +51,9 @@ DEFAULT_GOAL = {
 HOT_GROUP_ROWS = 1_000_000
 # Members held in one JSON text cell; a larger group gets further cells.
 MEMBERS_PER_CELL = 1_000
-# Distinct points clustered together in one task.
-CELL_POINTS = 4_096
+# Points, and bytes of their vectors, in one block of a task.
+BLOCK_POINTS = 4_096
+BLOCK_BYTES = 16 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:

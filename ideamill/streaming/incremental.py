@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +55,7 @@ def load_stream(landing: DataFrame, target: str, schema: str, checkpoint: str, r
         spark = batch.sparkSession
         if batch.isEmpty():
             return
-        run = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        run = _run_id(spark, checkpoint)
         loaded = loaded_rows(spark, target, schema).where(
             (F.col("load_run") != run) | (F.col("load_batch") != number))
         rows(batch, loaded.drop("load_run", "load_batch")).write.mode("overwrite").parquet(
@@ -64,3 +65,54 @@ def load_stream(landing: DataFrame, target: str, schema: str, checkpoint: str, r
         landing.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+@dataclass(frozen=True)
+class Target:
+    """A table of a common load. ``rows(batch, loaded)`` gives its new rows; loaded maps the names of
+    all targets to their loaded rows, those of earlier targets with what this batch adds to them."""
+
+    path: str
+    schema: str
+    rows: Callable[[DataFrame, dict[str, DataFrame]], DataFrame]
+
+
+def visible_rows(spark: SparkSession, target: Target, manifest: str) -> DataFrame:
+    """The rows of the batches that the manifest names: those that all targets have whole."""
+    whole = loaded_rows(spark, manifest, "targets int").select("load_run", "load_batch").distinct()
+    return loaded_rows(spark, target.path, target.schema).join(whole, ["load_run", "load_batch"], "left_semi")
+
+
+def load_targets(landing: DataFrame, targets: dict[str, Target], manifest: str, checkpoint: str) -> StreamingQuery:
+    """Load each batch into several targets as a unit, and stop when no landed file is left.
+
+    A batch writes its folder of every target in turn and then its row of the manifest. Readers see the
+    batches in the manifest only, so a batch that stopped between two targets is not seen; its replay has
+    the same run and number and overwrites what is there. Each key is loaded once.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if batch.isEmpty():
+            return
+        run = _run_id(spark, checkpoint)
+        place = f"load_run={run}/load_batch={number}"
+        other = (F.col("load_run") != run) | (F.col("load_batch") != number)
+        loaded = {name: visible_rows(spark, t, manifest).where(other).drop("load_run", "load_batch")
+                  for name, t in targets.items()}
+        batch.persist()
+        for name, target in targets.items():
+            folder = f"{target.path}/{place}"
+            target.rows(batch, loaded).write.mode("overwrite").parquet(folder)
+            loaded[name] = loaded[name].unionByName(spark.read.schema(target.schema).parquet(folder))
+        spark.createDataFrame([(len(targets),)], "targets int").coalesce(1).write.mode("overwrite").parquet(
+            f"{manifest}/{place}")
+        batch.unpersist()
+
+    return (
+        landing.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )

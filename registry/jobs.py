@@ -11,12 +11,16 @@ from ideamill.operators.embedding import (
     attach_vectors, classify_fields, embed_texts, text_digest, unseen_texts,
 )
 from ideamill.operators.labels import chunk_texts, live_answers
-from ideamill.operators.lookup import new_records
+from ideamill.operators.lookup import look_up, new_records
+from ideamill.operators.numbering import surrogate_keys
 from ideamill.plans import clusters, dimensions, export, facts, ideas
 from ideamill.plans.forms import idea_attributes
 from ideamill.settings import scratch_path
 from ideamill.sources.tables import write_records, written
-from ideamill.streaming.incremental import BATCH_COLUMNS, load_stream, read_landing
+from ideamill.sources.vector_table import read_vectors, upsert_vectors
+from ideamill.streaming.incremental import (
+    BATCH_COLUMNS, Target, load_stream, load_targets, read_landing, visible_rows,
+)
 from registry.base import new_registry
 from registry.stand_ins import (
     ANSWERS, CONTRIBUTIONS, DIM_COMPANY, DIM_GOALS, DIM_IDEA, DIM_USERS, FIELDS, IDEAS, TAGS,
@@ -101,6 +105,23 @@ def dimension_goals(t: Tables):
     return with_day_text(dimensions.goal_rows(source, t.dim_company, loaded, RUN))
 
 
+@query(f"""WITH {DIM_COMPANY}, goals AS (SELECT p_partkey + 1 AS goal_db_id, d.id AS company_id, p_name AS goal_name,
+  p_size > 5 AS active, DATE '2020-03-04' AS created_at, {HISTORY} FROM part LEFT JOIN dim_company d ON company_db_id = p_size
+UNION ALL SELECT 0, NULL, 'Sin meta', true, DATE '2021-01-01', TIMESTAMP '2021-01-01', '9999-12-31', true)
+SELECT row_number() OVER (ORDER BY goal_db_id) AS id, * FROM goals""")
+def dimension_goals_with_default(t: Tables):
+    """The first load adds the member 'no goal'; the second finds it and all goals loaded."""
+    source = t.part.select(
+        (F.col("p_partkey") + 1).alias("goal_db_id"), F.col("p_size").cast("long").alias("company_id"),
+        F.col("p_name").alias("goal_name"), (F.col("p_size") > 5).alias("active"),
+        F.lit(None).cast("long").alias("end_campaign"), F.lit("2020-03-04 05:06:07").alias("created_at"),
+        F.lit(None).cast("long").alias("updated_at"))
+    rows = written(dimensions.goal_rows(
+        source, t.dim_company, _empty(t, "id long, goal_db_id long"), RUN, default_member=True), "goals")
+    again = dimensions.goal_rows(source, t.dim_company, rows, RUN, default_member=True)
+    return with_day_text(rows.unionByName(again)).drop("end_campaign", "updated_at")
+
+
 @query(f"""WITH {DIM_COMPANY} SELECT row_number() OVER (ORDER BY c_custkey) AS id,
   c_custkey AS id_category_db, c_mktsegment AS category_name, c_name AS category_description,
   d.id AS company_id, c_acctbal > 0 AS status_active
@@ -222,37 +243,37 @@ grouped AS (SELECT idea_id, {family('Problem', 'answer')} AS problems,
   {first('category')} AS category, {first('created_at')} AS created_at,
   {first('updated_at')} AS updated_at
 FROM given WHERE category NOT IN ('Other', 'None', 'Category: Other') GROUP BY idea_id),
-tagged AS (SELECT idea_id, arg_min(name, id) AS tag_name, arg_min(tag_type, id) AS tag_type
+tagged AS (SELECT idea_id, arg_min(name, id) AS tag_name, arg_min(description, id) AS tag_description,
+  arg_min(tag_type, id) AS tag_type
   FROM ideas_tags JOIN tags ON id = tag_id GROUP BY idea_id),
 wide AS (SELECT g.* REPLACE ({clean.format('g.description')} AS description), t.tag_name,
-  t.tag_type, i.goal_id, i.stage, i.submited_at AS submitted_at
+  t.tag_description, t.tag_type, i.goal_id, i.stage, i.is_private, i.like_ideas_count, i.average_general,
+  i.submited_at AS submitted_at
 FROM grouped g JOIN ideas i ON i.id = g.idea_id LEFT JOIN tagged t ON t.idea_id = g.idea_id)"""
 
 
 @query(f"""WITH {_wide_sql()}
-SELECT row_number() OVER (ORDER BY idea_id) AS id, idea_id AS idea_db_id, tag_name, tag_type,
-  category, stage, name, description,
+SELECT row_number() OVER (ORDER BY idea_id) AS id, idea_id AS idea_db_id, tag_name, tag_description,
+  tag_type, category, stage, is_private, like_ideas_count, average_general, name, description,
   {", ".join(f"problems[{i}] AS problem_{i}, solutions[{i}] AS solution_{i}" for i in range(1, 7))},
-  {", ".join(f"round(problem_vectors[{i}][1], 6) AS prob_{i}_embedded, "
-             f"round(solution_vectors[{i}][1], 6) AS sol_{i}_embedded" for i in range(1, 7))},
-  round(name_vector[1], 6) AS name_embedded, created_at, updated_at,
+  {", ".join(f"round(list_sum(problem_vectors[{i}]), 4) AS prob_{i}_embedded, "
+             f"round(list_sum(solution_vectors[{i}]), 4) AS sol_{i}_embedded" for i in range(1, 7))},
+  round(list_sum(name_vector), 4) AS name_embedded, created_at, updated_at,
   TIMESTAMP '2024-05-01' AS valid_from, TIMESTAMP '2262-04-11 23:47:16.854775' AS valid_to,
   true AS is_current FROM wide""")
 def ideas_wide(t: Tables):
+    """All columns of the dimension; of each vector the total of its values."""
+    wide = written(_wide(t, t.text_vectors), "wide")
     dimension = ideas.idea_dimension_rows(
-        _wide(t), _empty(t, "id long, idea_db_id long"), RUN)
-    columns = [c for c in dimension.columns
-               if c not in ("tag_description", "is_private", "like_ideas_count",
-                            "average_general")]
-    return dimension.select(*[
-        F.round(F.get(c, F.lit(0)), 6).alias(c) if c in schemas.VECTOR_COLUMNS else c
-        for c in columns])
+        ideas.with_vectors(wide, t.text_vectors), _empty(t, "id long, idea_db_id long"), RUN)
+    return dimension.withColumns({
+        c: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), 4) for c in schemas.VECTOR_COLUMNS})
 
 
-def _wide(t: Tables):
+def _wide(t: Tables, vectors):
     answers = _landed_answers(t)
     return ideas.wide_ideas(
-        ideas.categorised_answers(answers, _class_table(t, answers)), t.text_vectors,
+        ideas.categorised_answers(answers, _class_table(t, answers)), vectors,
         idea_attributes(t.ideas, t.tags, t.ideas_tags))
 
 
@@ -262,7 +283,8 @@ SELECT idea_id AS idea_db_id, coalesce(c.id, 0) AS company_id, coalesce(g.id, 0)
 FROM wide LEFT JOIN dim_company c ON c.company_db_id = company_id
 LEFT JOIN dim_goals g ON g.goal_db_id = goal_id""")
 def submission_stage(t: Tables):
-    return ideas.submission_stage(_wide(t), t.dim_company, t.dim_goals)
+    """No vector is looked up for the stage, and the wide rows shrink to its columns."""
+    return ideas.submission_stage(_wide(t, None), t.dim_company, t.dim_goals)
 
 
 SQL_FACT = f"""{DIM_IDEA}, {DIM_USERS}, {CONTRIBUTIONS},
@@ -357,11 +379,28 @@ def vector_export_new(t: Tables):
     return _records(t, exported)
 
 
+@query("""SELECT CAST(vec_id AS VARCHAR) AS id, label = 2 AS is_changed, round(list_sum(embedding::DOUBLE[]) *
+  CASE WHEN label = 2 THEN 2 ELSE 1 END, 4) AS total FROM embeddings""")
+def vector_upsert(t: Tables):
+    """Two exports into the keyed vector table: the second has changed vectors of one label and all of another."""
+    path = scratch_path(t.spark, "vector-table")
+    vector = F.col("embedding").cast("array<double>")
+    records = t.embeddings.select(
+        F.col("vec_id").cast("string").alias("id"), "label", vector.alias("values"), F.lit(False).alias("is_changed"))
+    upsert_vectors(records.where("label <> 4").drop("label"), path, buckets=16)
+    changed = records.where("label IN (2, 4)").withColumns({
+        "values": F.when(F.col("label") == 2, F.transform("values", lambda v: v * 2)).otherwise(F.col("values")),
+        "is_changed": F.col("label") == 2})
+    upsert_vectors(changed.drop("label"), path, buckets=16)
+    found = read_vectors(t.spark, path, "id string, values array<double>, is_changed boolean")
+    total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
+    return found.select("id", "is_changed", F.round(total, 4).alias("total"))
+
+
 def _clusters_labelled(t: Tables):
     dim_idea, fact, columns = _vector_ideas(t)
     loaded = _empty(t, schemas.PARAM_CLUSTERED_IDEAS)
-    found = clusters.clustered_ideas(
-        dim_idea, fact, loaded, 64, columns=columns, restarts=10)
+    found = clusters.clustered_ideas(dim_idea, fact, loaded, 64, columns=columns)
     chunked = clusters.ideas_to_label(found)
 
     def model(prompt: str) -> str:
@@ -425,3 +464,34 @@ def stream_incremental_load(t: Tables):
         write_records(rows, landing, date(2024, 5, 1 + day))
         load()
     return with_day_text(t.spark.read.schema(f"{schema}, {BATCH_COLUMNS}").parquet(target).drop("load_run"))
+
+
+@query("""SELECT row_number() OVER (ORDER BY n_regionkey >= 3, n_nationkey) AS id, CAST(n_nationkey AS BIGINT)
+  AS company_db_id, CAST(n_regionkey + 1 AS BIGINT) AS region_id, r_name AS region_name
+FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def stream_two_targets(t: Tables):
+    """Two landings, each loaded into a region dimension and a company dimension that holds its keys."""
+    landing, manifest, checkpoint = (scratch_path(t.spark, n) for n in ("landing", "manifest", "progress"))
+    schema = "company_db_id long, region_db_id long, region_name string"
+
+    def regions(batch, loaded):
+        new = new_records(batch.select("region_db_id", "region_name").distinct(), loaded["regions"], "region_db_id")
+        return surrogate_keys(new, loaded["regions"], ["region_db_id"])
+
+    def companies(batch, loaded):
+        new = new_records(batch, loaded["companies"], "company_db_id")
+        keyed = look_up(new, loaded["regions"], {"region_db_id": "region_db_id"}, "id", "region_id")
+        return surrogate_keys(keyed.select("company_db_id", "region_id"), loaded["companies"], ["company_db_id"])
+
+    targets = {
+        "regions": Target(scratch_path(t.spark, "regions"), "id long, region_db_id long, region_name string", regions),
+        "companies": Target(scratch_path(t.spark, "companies"), "id long, company_db_id long, region_id long", companies)}
+    source = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").cast("long").alias("company_db_id"), F.col("n_regionkey").cast("long").alias("region_db_id"),
+        F.col("r_name").alias("region_name"))
+    for day, rows in enumerate([source.where("region_db_id < 3"), source]):
+        write_records(rows, landing, date(2024, 5, 1 + day))
+        load_targets(read_landing(t.spark, f"{landing}/*", schema), targets, manifest, checkpoint).awaitTermination()
+    found = visible_rows(t.spark, targets["companies"], manifest).drop("load_run", "load_batch")
+    return look_up(found, visible_rows(t.spark, targets["regions"], manifest), {"region_id": "id"}, "region_name", "region_name",
+                   unique=True)

@@ -8,10 +8,11 @@ from ideamill.functions.vectors import (
     mean_of_valid, mean_vectors, text_to_vector, vector_sizes, vector_to_text,
 )
 from ideamill.operators.clustering import (
-    assign_nearest, centroids, cluster_groups, distance_to_centroid,
+    assign_nearest, assignment_work, centroids, cluster_groups, distance_to_centroid,
 )
 from ideamill.operators.quality import (
-    elbow_sweep, project_2d, silhouette, silhouette_sweep, within_sum_of_squares,
+    elbow_sweep, euclidean_silhouette, project_2d, silhouette, silhouette_sweep, sweep_labels,
+    within_sum_of_squares,
 )
 from ideamill.sources.tables import written
 from registry.base import new_registry
@@ -131,12 +132,41 @@ def assign_nearest_centroid(t: Tables):
     """Centroids are saved as a table, read again, and every vector gets the nearest one."""
     rows = _labelled(t)
     saved = written(centroids(rows, "company_id", "cluster", "vector"), "centroids")
-    found = assign_nearest(rows.drop("cluster"), saved, "company_id", "cluster", "vector",
-                           block=32)
+    found = assign_nearest(rows.drop("cluster"), saved, "company_id", "cluster", "vector")
     return found.select("vec_id", "company_id", "cluster",
                         F.round("distance_centroid", 6).alias("distance_centroid"))
 
 
+SQL_ONE_EACH = """seeds AS (SELECT vec_id AS cluster, CAST(label AS BIGINT) AS company_id, embedding::DOUBLE[] AS c
+  FROM embeddings WHERE vec_id % 5 = 0),
+gaps AS (SELECT e.vec_id, company_id, cluster, list_sum(list_transform(list_zip(embedding::DOUBLE[], c),
+  lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS gap FROM embeddings e JOIN seeds ON e.label = company_id)"""
+
+
+def _many_centroids(t: Tables):
+    """A fifth of the vectors saved as centroids."""
+    rows = _points(t)
+    return rows, rows.where("vec_id % 5 = 0").select(
+        F.col("vec_id").alias("cluster"), "company_id", F.col("vector").alias("centroid"))
+
+
+@query(f"""WITH {SQL_ONE_EACH} SELECT vec_id, company_id, arg_min(cluster, gap) AS cluster,
+  round(sqrt(min(gap)), 6) AS distance_centroid FROM gaps GROUP BY ALL""")
+def assign_nearest_pruned(t: Tables):
+    """As many centroids as a tenth or more of the rows: the triangle inequality rules most out or none."""
+    rows, saved = _many_centroids(t)
+    found = assign_nearest(rows, saved, "company_id", "cluster", "vector", prune_above=0)
+    return found.select("vec_id", "company_id", "cluster", F.round("distance_centroid", 6).alias("distance_centroid"))
+
+
+@query(f"""WITH {SQL_ONE_EACH} SELECT company_id, count(*) AS pairs, true AS within FROM gaps GROUP BY company_id""")
+def assignment_visits(t: Tables):
+    """Points times centroids of a whole comparison; the pruned one never does more."""
+    rows, saved = _many_centroids(t)
+    work = assignment_work(rows, saved, "company_id", "cluster", "vector")
+    return work.select("company_id", "pairs", (F.col("visits") <= F.col("pairs")).alias("within"))
+
+
 @query()
 def grouped_kmeans(t: Tables):
     """Clusters per company; k-means labels are not comparable, so tests check invariants."""
@@ -150,7 +180,11 @@ FROM embeddings GROUP BY label""")
 def grouped_kmeans_invariants(t: Tables):
     """Whatever the labels: every idea is in the cluster of its nearest centroid, centroids are
     the means of their clusters, and the number of clusters follows the rule."""
-    found = written(cluster_groups(_points(t), "company_id", "vector"), "clusters")
+    return _invariants(_points(t))
+
+
+def _invariants(rows):
+    found = written(cluster_groups(rows, "company_id", "vector"), "clusters")
     saved = written(centroids(found, "company_id", "cluster_number", "vector"), "centroids")
     again = distance_to_centroid(
         found, saved, "company_id", "cluster_number", "vector", "to_mean")
@@ -165,12 +199,12 @@ def grouped_kmeans_invariants(t: Tables):
         F.sum((F.col("fitted") != F.col("cluster_number")).cast("long")).alias("not_nearest"))
 
 
-@query()
-def grouped_kmeans_in_cells(t: Tables):
-    """One company holding all rows, clustered in cells of bounded size."""
-    whole = _points(t).withColumn("company_id", F.lit(1).cast("long"))
-    return cluster_groups(whole, "company_id", "vector", restarts=5, cell_points=100).drop(
-        "vector")
+@query("""SELECT CAST(1 AS BIGINT) AS company_id, count(*) AS n_ideas,
+  greatest(1, CAST(round_even(count(*) / 10, 0) AS BIGINT)) AS n_clusters,
+  CAST(0 AS DOUBLE) AS distance_error, CAST(0 AS BIGINT) AS not_nearest FROM embeddings""")
+def one_company_kmeans_invariants(t: Tables):
+    """All rows as one company."""
+    return _invariants(_points(t).withColumn("company_id", F.lit(1).cast("long")))
 
 
 @query("""WITH long AS (SELECT label, vec_id, unnest(embedding::DOUBLE[]) AS x,
@@ -185,7 +219,25 @@ def elbow_one_cluster(t: Tables):
 
 @query()
 def elbow_by_count(t: Tables):
-    return elbow_sweep(_points(t), "vector")
+    """Sum of squares of every company for 1 to 10 clusters."""
+    return elbow_sweep(_points(t), "company_id", "vector")
+
+
+@query("""SELECT CAST(label AS BIGINT) AS company_id, k, k AS n_clusters, count(*) AS n_ideas,
+  CAST(0 AS DOUBLE) AS identity_error FROM embeddings, (SELECT unnest(range(1, 11)) AS k)
+GROUP BY label, k HAVING k <= count(DISTINCT embedding)""")
+def elbow_identity(t: Tables):
+    """The sweep's sums of squared distances against sum|x|^2 - |sum x|^2 / n of its own clusters."""
+    points, labels = sweep_labels(_points(t), "company_id", "vector", 1, 10)
+    rows = labels.join(points, ["company_id", "point"])
+    inside = within_sum_of_squares(
+        rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("weight").cast("int")))),
+        ["company_id", "k", "cluster"], "vector")
+    by_cluster = rows.groupBy("company_id", "k", "cluster").agg(
+        F.sum("weight").alias("rows"), F.sum(F.col("weight") * F.col("distance") ** 2).alias("measured"))
+    return by_cluster.join(inside, ["company_id", "k", "cluster"]).groupBy("company_id", "k").agg(
+        F.count("*").alias("n_clusters"), F.sum("rows").alias("n_ideas"),
+        F.round(F.abs(F.sum("measured") - F.sum("wss")), 6).alias("identity_error"))
 
 
 SQL_SILHOUETTE = """points AS (SELECT vec_id, CAST(label AS BIGINT) AS company_id,
@@ -207,9 +259,19 @@ def silhouette_fixed_labels(t: Tables):
         "vec_id", "company_id", "cluster", F.round("silhouette", 5).alias("silhouette"))
 
 
+@query(f"""WITH {SQL_SILHOUETTE.replace("list_sum(", "sqrt(list_sum(").replace(" AS gap", ") AS gap")}
+SELECT vec_id, company_id, own AS cluster, CASE WHEN inside IS NULL
+  THEN 0.0 ELSE round((outside - inside) / greatest(outside, inside), 5) END AS silhouette
+FROM sides""")
+def euclidean_silhouette_fixed_labels(t: Tables):
+    return euclidean_silhouette(_labelled(t), "company_id", "cluster", "vector").select(
+        "vec_id", "company_id", "cluster", F.round("silhouette", 5).alias("silhouette"))
+
+
 @query()
 def silhouette_by_count(t: Tables):
-    return silhouette_sweep(_points(t), "vector")
+    """Mean Euclidean silhouette of every company for 2 to 10 clusters."""
+    return silhouette_sweep(_points(t), "company_id", "vector")
 
 
 @query()

@@ -2,14 +2,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ideamill.operators import kmeans
 from ideamill.operators.clustering import (
-    assign_nearest, centroids, cluster_groups, distance_to_centroid, split_cells,
-    weighted_points,
+    assign_nearest, assignment_work, centroids, cluster_groups, distance_to_centroid,
 )
 from ideamill.operators.quality import (
-    elbow_sweep, project_2d, silhouette, silhouette_sweep, within_sum_of_squares,
+    elbow_sweep, euclidean_silhouette, project_2d, silhouette, silhouette_sweep, sweep_labels,
+    within_sum_of_squares,
 )
-from ideamill.functions.vectors import vector_digest
+from ideamill.settings import BLOCK_BYTES
 
 SCHEMA = "id long, company_id long, vector array<double>"
 
@@ -99,37 +100,58 @@ def test_fewer_points_than_clusters(spark):
     assert len(rows) == 40 and {r["distance_centroid"] for r in rows} == {0.0}
 
 
-def test_large_company_is_clustered_in_cells(spark):
-    df = points(spark, {1: 600, 2: 20})
-    marked = df.withColumn("point", vector_digest(F.col("vector")))
-    cells = split_cells(weighted_points(marked, "company_id", "vector"), "company_id", 50)
-    sizes = {tuple(r)[:2]: r["count"] for r in cells.groupBy("company_id", "cell").count()
-             .collect()}
-    assert sum(sizes.values()) == 620 and max(sizes.values()) <= 50
-    assert [c for c in sizes if c[0] == 2] == [(2, "")]
-    groups = by_company(cluster_groups(df, "company_id", "vector", restarts=3, cell_points=50))
-    rows = groups[1]
-    assert len(rows) == 600 and len({r["id"] for r in rows}) == 600
-    numbers = {r["cluster_number"] for r in rows}
-    assert numbers == set(range(len(numbers))) and 60 <= len(numbers) <= 70
-    centers = centers_of(rows)
-    for r in rows:
-        gap = np.linalg.norm(np.array(r["vector"]) - centers[r["cluster_number"]])
-        assert r["distance_centroid"] == pytest.approx(gap, abs=1e-9)
-    assert len({r["cluster_number"] for r in groups[2]}) == 2
-
-
-def test_equal_distances_are_split_by_hash(spark):
-    """Points on the axes have equal distances: splitting around pivots moves one at a time."""
-    dims = 120
-    df = spark.range(dims).select(
-        F.lit(1).cast("long").alias("company_id"), F.col("id").cast("string").alias("point"),
-        F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
-                    lambda i: F.when(i == F.col("id"), 1.0).otherwise(0.0)).alias("vector"),
-        F.lit(1).cast("long").alias("weight"))
-    cells = split_cells(df, "company_id", 4)
-    sizes = [r["count"] for r in cells.groupBy("cell").count().collect()]
-    assert sum(sizes) == dims and max(sizes) <= 20
+@pytest.mark.parametrize("block_points", [25, 5])
+def test_blocks_do_not_change_the_clusters(spark, block_points):
+    """One block and several, with centres in one slice (25) or two (5), give the same fit of each company."""
+    df = points(spark, {1: 80, 2: 20, 3: 40}, seed=5)
+    def fit(n):
+        rows = cluster_groups(df, "company_id", "vector", restarts=3, block_points=n).collect()
+        return {r["id"]: (r["cluster_number"], pytest.approx(r["distance_centroid"], abs=1e-9)) for r in rows}
+    found = fit(block_points)
+    assert len(found) == 140 and found == fit(4_096)
+
+
+def test_a_company_of_many_blocks_keeps_the_rule(spark):
+    df = points(spark, {1: 300, 2: 20})
+    rows = cluster_groups(df, "company_id", "vector", restarts=2, block_points=64).collect()
+    groups = {c: [r for r in rows if r["company_id"] == c] for c in (1, 2)}
+    assert [len(groups[c]) for c in (1, 2)] == [300, 20] and len({r["id"] for r in rows}) == 320
+    centers = centers_of(groups[1])
+    assert sorted(centers) == list(range(30)) and {r["cluster_number"] for r in groups[2]} == {0, 1}
+    for r in groups[1]:
+        gaps = {c: np.linalg.norm(np.array(r["vector"]) - m) for c, m in centers.items()}
+        assert r["distance_centroid"] == pytest.approx(gaps[r["cluster_number"]], abs=1e-9)
+        assert gaps[r["cluster_number"]] <= min(gaps.values()) + 1e-9
+
+
+def test_blocks_are_bounded_by_points_and_bytes(spark):
+    df = points(spark, {1: 500, 2: 3}).withColumn("point", F.col("id").cast("string"))
+    made = kmeans.weighted_points(df, "company_id", "vector")
+    sizes = kmeans.group_sizes(made, "company_id", 100)
+    assert {r["company_id"]: (r["n_rows"], r["n_points"], r["length"], r["n_blocks"]) for r in sizes.collect()} == {
+        1: (500, 500, 4, 5), 2: (3, 3, 4, 1)}
+    blocks = kmeans.point_blocks(made, sizes, "company_id").collect()
+    assert len(blocks) == 6 and max(len(b["points"]) for b in blocks) < 200
+    assert sum(len(b["points"]) for b in blocks) == 503 and all(len(b["x"]) == 4 * len(b["points"]) for b in blocks)
+    long = df.where("company_id = 2").withColumn("vector", F.array_repeat(F.lit(1.0), BLOCK_BYTES // 16))
+    assert kmeans.group_sizes(kmeans.weighted_points(long, "company_id", "vector"), "company_id").first()["n_blocks"] == 2
+
+
+def test_draws_follow_weight_times_distance():
+    marks = np.random.default_rng(0).integers(-2**62, 2**62, 5)
+    weights, near = np.array([1.0, 2.0, 3.0, 4.0, 5.0]), np.array([5.0, 4.0, 0.0, 1.0, 1.0])
+    first = np.zeros(5)
+    for restart in range(20_000):
+        first[kmeans.priorities(marks, weights, near, 42, restart, 1).argmin()] += 1
+    assert first / 20_000 == pytest.approx(weights * near / (weights * near).sum(), abs=0.015)
+    assert np.isinf(kmeans.priorities(marks, weights, near, 42, 0, 1)[2])
+
+
+def test_empty_table_has_no_clusters(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert cluster_groups(none, "company_id", "vector").isEmpty()
+    assert elbow_sweep(none, "company_id", "vector").isEmpty()
+    assert silhouette_sweep(none, "company_id", "vector").isEmpty()
 
 
 def test_assignment_equals_brute_force(spark):
@@ -137,8 +159,8 @@ def test_assignment_equals_brute_force(spark):
     found = cluster_groups(df, "company_id", "vector")
     saved = centroids(found, "company_id", "cluster_number", "vector")
     new = points(spark, {1: 80, 2: 10}, seed=9)
-    for block in (7, 4096):
-        rows = assign_nearest(new, saved, "company_id", "cluster_number", "vector", block)
+    for block, prune_above in ((7, 4096), (4096, 4096), (7, 0), (4096, 0), (2, 1)):
+        rows = assign_nearest(new, saved, "company_id", "cluster_number", "vector", block, prune_above)
         table = {}
         for r in saved.collect():
             table.setdefault(r["company_id"], {})[r["cluster_number"]] = np.array(r["centroid"])
@@ -174,16 +196,93 @@ def test_silhouette_equals_brute_force(spark):
         assert {r["id"]: pytest.approx(r["silhouette"]) for r in found} == expected
 
 
+def test_pruned_assignment_visits_a_part(spark):
+    """Points around 100 far places, each place a centroid: a point visits few pivots; copies and ties go by number."""
+    rng = np.random.default_rng(6)
+    places = rng.uniform(-1_000, 1_000, size=(100, 3))
+    rows = spark.createDataFrame([(i, 1, (places[i % 100] + rng.normal(size=3)).tolist()) for i in range(900)], SCHEMA)
+    saved = spark.createDataFrame(
+        [(1, c, p.tolist()) for c, p in enumerate(places)] + [(1, 100 + c, places[c].tolist()) for c in range(9)],
+        "company_id long, cluster int, centroid array<double>")
+    found = assign_nearest(rows, saved, "company_id", "cluster", "vector", block=200, prune_above=0).collect()
+    assert len(found) == 900 and all(r["cluster"] == r["id"] % 100 for r in found)
+    work = assignment_work(rows, saved, "company_id", "cluster", "vector", block=200).first()
+    assert work["pairs"] == 900 * 109 and work["visits"] < 0.6 * work["pairs"]
+
+
+def test_assignment_leaves_out_rows_without_vector_or_centroids(spark):
+    rows = spark.createDataFrame([(1, 1, [1.0]), (2, 1, None), (3, 2, [1.0]), (4, None, [1.0])], SCHEMA)
+    saved = spark.createDataFrame([(1, "a", [0.0]), (1, "b", [3.0])], "company_id long, cluster string, centroid array<double>")
+    for prune_above in (0, 9):
+        found = assign_nearest(rows, saved, "company_id", "cluster", "vector", prune_above=prune_above).collect()
+        assert [(r["id"], r["cluster"], r["distance_centroid"]) for r in found] == [(1, "a", 1.0)]
+
+
+def plain_silhouette(x, labels):
+    far = np.sqrt(((x[:, None] - x) ** 2).sum(-1))
+    found = []
+    for i in range(len(x)):
+        own = (labels == labels[i]) & (np.arange(len(x)) != i)
+        if not own.any():
+            found.append(0.0)
+            continue
+        a = far[i][own].mean()
+        b = min(far[i][labels == c].mean() for c in set(labels) - {labels[i]})
+        found.append((b - a) / max(a, b))
+    return found
+
+
+@pytest.mark.parametrize("block_points", [7, 16, 4_096])
+def test_euclidean_silhouette_equals_brute_force(spark, block_points):
+    """Bins of a few points: clusters are spread over several pieces, and the rows hold copies and a lone point."""
+    df = points(spark, {1: 40, 2: 25}).withColumn("cluster", F.when(F.col("id") == 0, 9).otherwise((F.col("id") % 3).cast("int")))
+    df = df.unionByName(df.where("id in (3, 4, 5, 50)").withColumn("id", F.col("id") + 100))
+    data = df.collect()
+    expected = {}
+    for company in (1, 2):
+        rows = [r for r in data if r["company_id"] == company]
+        scores = plain_silhouette(np.array([r["vector"] for r in rows]), np.array([r["cluster"] for r in rows]))
+        expected |= {r["id"]: s for r, s in zip(rows, scores)}
+    found = euclidean_silhouette(df, "company_id", "cluster", "vector", block_points).collect()
+    assert {r["id"]: r["silhouette"] for r in found} == pytest.approx(expected)
+
+
+def test_silhouette_of_one_cluster_and_missing_values(spark):
+    df = spark.createDataFrame(
+        [(1, 1, [0.0, 1.0]), (2, 1, [1.0, 0.0]), (3, 2, None), (4, None, [0.0, 0.0])], SCHEMA).withColumn("cluster", F.lit(0))
+    found = euclidean_silhouette(df, "company_id", "cluster", "vector").collect()
+    assert sorted((r["id"], r["silhouette"]) for r in found) == [(1, None), (2, None), (3, None), (4, None)]
+
+
+def test_sweeps_of_all_companies_in_one_job(spark):
+    df = points(spark, {1: 30, 2: 4, 3: 12}, seed=2)
+    made, labels = sweep_labels(df, "company_id", "vector", 1, 5, restarts=3)
+    rows = labels.join(made, ["company_id", "point"]).collect()
+    assert {(r["company_id"], r["k"]) for r in rows} == {(c, k) for c in (1, 2, 3) for k in range(1, 6) if k <= 4 or c != 2}
+    wss = {(r["company_id"], r["k"]): r["wss"] for r in elbow_sweep(df, "company_id", "vector", most=5, restarts=3).collect()}
+    scores = {(r["company_id"], r["k"]): r["silhouette"]
+              for r in silhouette_sweep(df, "company_id", "vector", most=5, restarts=3).collect()}
+    for key in wss:
+        own = [r for r in rows if (r["company_id"], r["k"]) == key]
+        x, label = np.array([r["vector"] for r in own]), np.array([r["cluster"] for r in own])
+        assert len(set(label)) == key[1]
+        assert wss[key] == pytest.approx(sum(((x[label == c] - x[label == c].mean(0)) ** 2).sum() for c in set(label)), abs=1e-9)
+        if key[1] > 1:
+            assert scores[key] == pytest.approx(np.mean(plain_silhouette(x, label)))
+    assert all(wss[c, k] <= wss[c, k - 1] + 1e-9 for c, k in wss if k > 1)
+
+
 def test_sweeps_and_projection(spark):
     rng = np.random.default_rng(1)
     data = [(i, 1, (rng.normal(size=3) + 20 * (i % 3)).tolist()) for i in range(60)]
     df = spark.createDataFrame(data, SCHEMA)
-    wss = {r["k"]: r["wss"] for r in elbow_sweep(df, "vector", most=5).collect()}
+    wss = {r["k"]: r["wss"] for r in elbow_sweep(df, "company_id", "vector", most=5).collect()}
     assert sorted(wss) == [1, 2, 3, 4, 5]
     x = np.array([d[2] for d in data])
     assert wss[1] == pytest.approx(((x - x.mean(0)) ** 2).sum())
     assert wss[1] > 10 * wss[3]
-    scores = {r["k"]: r["silhouette"] for r in silhouette_sweep(df, "vector", most=5).collect()}
+    scores = {r["k"]: r["silhouette"]
+              for r in silhouette_sweep(df, "company_id", "vector", most=5).collect()}
     assert max(scores, key=scores.get) == 3
     one = within_sum_of_squares(df, ["company_id"], "vector").first()
     assert one["wss"] == pytest.approx(wss[1])

@@ -14,7 +14,9 @@ from ideamill.settings import scratch_path, shared_folder
 from ideamill.sources.tables import (
     read_records, read_sheet, read_table, write_records, write_sheet, write_stage,
 )
-from ideamill.streaming.incremental import load_stream, read_landing
+from ideamill.operators.numbering import surrogate_keys
+from ideamill.operators.lookup import look_up, new_records
+from ideamill.streaming.incremental import Target, load_stream, load_targets, read_landing, visible_rows
 
 RUN = datetime(2024, 5, 1)
 
@@ -141,6 +143,41 @@ def test_ideas_from_answers_to_dimension(spark, forms):
     assert submissions[2]["submitted_at"].year == 2262
 
 
+def test_the_load_fills_missing_vectors_once(spark, tmp_path):
+    given = spark.createDataFrame(
+        [(1, 1, "known", 7, "T"), (2, 1, "new text", 7, "T"), (3, 1, "new text", 7, "T"), (4, 1, " ", 7, "T")],
+        "idea_id long, field_id long, field_answer string, company_id long, title string").withColumns({
+            c: F.lit(None).cast(kind) for c, kind in {
+                "idea_name": "string", "description": "string", "created_at": "date", "updated_at": "date"}.items()})
+    classes = spark.createDataFrame([(1, 7, 1, "T", None, "Problem 1")], schemas.PARAM_CLASS_TABLE)
+    table = spark.createDataFrame([(i, None, None, None) for i in range(1, 5)],
+                                  "id long, title string, description string, user_id long").withColumns({
+        c: F.lit(None).cast(kind) for c, kind in {
+            "goal_id": "long", "is_private": "boolean", "stage": "string", "like_ideas_count": "int",
+            "average_general": "double", "submited_at": "timestamp"}.items()})
+    tags = spark.createDataFrame([], "id long, name string, description string, tag_type int")
+    known = spark.createDataFrame([("known", [1.0])], "text string, vector array<double>").select(
+        text_digest(F.col("text")).alias("digest"), "vector")
+    path = str(tmp_path / "vectors")
+    known.write.parquet(path)
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<double>")
+    def embed(text):
+        asked.add(len(text))
+        return text.map(lambda x: [float(len(x))])
+
+    keys = spark.createDataFrame([], "id long, company_db_id long, goal_db_id long, idea_db_id long")
+    for turn in range(2):
+        dimension, stage = ideas.load_ideas(
+            given, classes, spark.read.parquet(path), table, tags,
+            spark.createDataFrame([], "tag_id long, idea_id long"), keys, keys, keys, RUN, embed, path)
+        found = {r["idea_db_id"]: r["prob_1_embedded"] for r in dimension.collect()}
+        assert found == {1: [1.0], 2: [8.0], 3: [8.0], 4: None} and stage.count() == 4 and asked.value == 1
+        # What was made is read from the table from now on.
+        assert spark.read.parquet(path).count() == 2
+
+
 def test_later_rows_win_in_the_class_table(spark):
     table = spark.createDataFrame(
         [(1, 1, "T", "Problem 1"), (2, 1, "T", "Solution 1"), (3, 2, "U", "Problem 1")],
@@ -255,6 +292,35 @@ def test_live_model_is_asked_once_per_chunk_in_order(spark):
     assert asked.value == 7
 
 
+@pytest.mark.parametrize("per_wave", [1, 2])
+def test_a_failed_wave_alone_is_asked_again(spark, tmp_path, per_wave):
+    """The run stops in the wave of chunk 2; the next one asks that wave and the rest, not the waves before."""
+    texts = spark.createDataFrame(
+        [(c, n, f"{c}/{n}") for c in range(6) for n in range(1 + c)], "cluster long, chunk long, ideas string")
+    asked, broken = spark.sparkContext.accumulator(0), tmp_path / "broken"
+    broken.touch()
+
+    def model(prompt):
+        if "/2" in prompt and broken.exists():
+            raise RuntimeError("no model")
+        asked.add(1)
+        return prompt.split("|")[-1]
+
+    def run():
+        return live_answers(texts, ["cluster"], "{ideas}", "{cluster_name}|{ideas}", model, lambda a: (a, ""),
+                            per_wave, str(tmp_path / "answers"))
+
+    with pytest.raises(Exception, match="no model"):
+        run()
+    done = asked.value
+    broken.unlink()
+    found = {(r["cluster"], r["chunk"]): r["answer"] for r in run().collect()}
+    assert found == {(c, n): f"{c}/{n}" for c in range(6) for n in range(1 + c)}
+    # The waves before chunk 2 hold 6 + 5 texts; of the broken wave some may have been asked.
+    assert done >= 11 and asked.value - done == 21 - 11
+    assert run().count() == 21 and asked.value - done == 10
+
+
 def test_an_unusable_answer_keeps_the_label_and_marks_in_texts_stay(spark):
     texts = spark.createDataFrame(
         [(1, 0, "a"), (1, 1, "{cluster_name}"), (1, 2, "c")], "cluster long, chunk long, ideas string")
@@ -422,3 +488,48 @@ def test_consumed_files_are_archived(spark, tmp_path):
     kept = {p.name for p in (tmp_path / "raw").glob("*.json")}
     moved = {p.name for p in (tmp_path / "used").rglob("*.json")}
     assert kept | moved == {"a.json", "b.json", "c.json"} and "a.json" in moved
+
+
+def test_a_batch_of_several_targets_is_loaded_as_a_unit(spark, tmp_path):
+    """The load stops between the dimension and the fact; its replay loads each key of both once."""
+    landing, manifest = str(tmp_path / "landing"), str(tmp_path / "manifest")
+    broken = tmp_path / "broken"
+
+    def teams(batch, loaded):
+        new = new_records(batch.select("team").distinct(), loaded["teams"], "team")
+        return surrogate_keys(new, loaded["teams"], ["team"])
+
+    def people(batch, loaded):
+        if broken.exists():
+            raise RuntimeError("lost")
+        new = look_up(new_records(batch, loaded["people"], "person"), loaded["teams"], {"team": "team"}, "id", "team_id")
+        return surrogate_keys(new.select("person", "team_id"), loaded["people"], ["person"])
+
+    targets = {"teams": Target(str(tmp_path / "teams"), "id long, team string", teams),
+               "people": Target(str(tmp_path / "people"), "id long, person string, team_id long", people)}
+
+    def land(rows, day):
+        write_records(spark.createDataFrame(rows, "person string, team string"), landing, date(2024, 5, day))
+
+    def load():
+        stream = read_landing(spark, f"{landing}/*", "person string, team string")
+        load_targets(stream, targets, manifest, str(tmp_path / "progress")).awaitTermination()
+
+    def seen(name, *columns):
+        return sorted(tuple(r) for r in visible_rows(spark, targets[name], manifest).select(*columns).collect())
+
+    land([("a", "x"), ("b", "y")], 1)
+    load()
+    assert seen("teams", "id", "team") == [(1, "x"), (2, "y")]
+    assert seen("people", "id", "person", "team_id") == [(1, "a", 1), (2, "b", 2)]
+    land([("b", "y"), ("c", "z"), ("d", "x")], 2)
+    broken.touch()
+    with pytest.raises(Exception, match="lost"):
+        load()
+    # The dimension's folder is there; no reader sees it.
+    assert seen("teams", "id", "team") == [(1, "x"), (2, "y")]
+    broken.unlink()
+    load()
+    load()
+    assert seen("teams", "id", "team") == [(1, "x"), (2, "y"), (3, "z")]
+    assert seen("people", "id", "person", "team_id") == [(1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "d", 1)]
