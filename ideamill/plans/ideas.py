@@ -22,7 +22,7 @@ from ideamill.operators.lookup import known_rows, look_up, new_records
 from ideamill.operators.numbering import surrogate_keys
 from ideamill.operators.reshape import pivot_first
 from ideamill.plans.forms import answers_of_companies, idea_attributes
-from ideamill.settings import LOOKUP_MISS, MAX_TIMESTAMP, UNUSED_CATEGORIES
+from ideamill.settings import LOOKUP_MISS, MAX_TIMESTAMP, SMALL_TABLE_BYTES, UNUSED_CATEGORIES
 from ideamill.sources.tables import append_rows, written
 
 
@@ -84,20 +84,30 @@ def wide_ideas(answers: DataFrame, vectors: DataFrame | None, attributes: DataFr
     return compact_left(normalise_missing(joined), schemas.FAMILIES)
 
 
-def with_vectors(wide: DataFrame, vectors: DataFrame) -> DataFrame:
+def with_vectors(wide: DataFrame, vectors: DataFrame, small_bytes: int = SMALL_TABLE_BYTES) -> DataFrame:
     """The written wide rows with vectors for the digests in their vector columns.
 
-    A slot meets its vector by digest; an idea's slots come back as one list, so vectors move once.
+    The vector table is measured first. Up to ``small_bytes`` it is sent to the tasks, and each slot looks its
+    vector up in place. Beyond, a slot meets its vector by digest and an idea's slots come back as one list, so
+    that vectors move once. Of several vectors of a digest the greatest counts.
     """
+    known = vectors.where("vector IS NOT NULL").groupBy("digest").agg(F.max("vector").alias("vector"))
+    size = vectors.agg(F.coalesce(F.sum(8 * F.size("vector") + F.length("digest")), F.lit(0))).first()[0]
+    if size <= small_bytes:
+        known = written(known, "vectors")
+        for c in schemas.VECTOR_COLUMNS:
+            held = F.broadcast(known.select(F.col("digest").alias("_digest"), F.col("vector").alias("_vector")))
+            wide = wide.join(held, F.col(c) == F.col("_digest"), "left").withColumn(c, F.col("_vector")).drop("_digest", "_vector")
+        return wide
     slots = F.explode(F.array(*[
         F.struct(F.lit(c).alias("slot"), F.col(c).alias("digest")) for c in schemas.VECTOR_COLUMNS]))
     wanted = wide.select("idea_db_id", slots.alias("_kept")).select("idea_db_id", "_kept.*").where(
         "digest IS NOT NULL")
-    held = wanted.join(vectors.where("vector IS NOT NULL").select("digest", "vector"), "digest").groupBy(
-        "idea_db_id").agg(F.collect_list(F.struct("slot", "vector")).alias("_vectors"))
+    held = wanted.join(known, "digest").groupBy("idea_db_id").agg(
+        F.collect_list(F.struct("slot", "vector")).alias("_vectors"))
 
     def of_slot(name: str) -> Column:
-        return F.array_max(F.filter("_vectors", lambda v: v["slot"] == name))["vector"]
+        return F.get(F.filter("_vectors", lambda v: v["slot"] == name), F.lit(0))["vector"]
 
     return wide.join(held, "idea_db_id", "left").withColumns({
         c: of_slot(c) for c in schemas.VECTOR_COLUMNS}).drop("_vectors")

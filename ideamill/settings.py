@@ -54,6 +54,8 @@ MEMBERS_PER_CELL = 1_000
 # Points, and bytes of their vectors, in one block of a task.
 BLOCK_POINTS = 4_096
 BLOCK_BYTES = 16 << 20
+# A table measured to be no larger is sent to every task.
+SMALL_TABLE_BYTES = 32 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:

@@ -143,6 +143,22 @@ def test_ideas_from_answers_to_dimension(spark, forms):
     assert submissions[2]["submitted_at"].year == 2262
 
 
+def test_vectors_are_the_same_for_small_and_large_tables(spark):
+    """Looked up in place or met by digest; a digest with two vectors has the greater one."""
+    names = schemas.VECTOR_COLUMNS
+    data = [(i, *[f"d{(i * 3 + n) % 20}" if (i + n) % 4 else None for n in range(len(names))]) for i in range(40)] + [
+        (99, *[None] * len(names))]
+    wide = spark.createDataFrame(data, "idea_db_id long, " + ", ".join(f"{c} string" for c in names))
+    vectors = spark.createDataFrame(
+        [(f"d{i}", [float(i), 1.0]) for i in range(15)] + [("d3", [9.0, 0.0]), ("d4", None)], "digest string, vector array<double>")
+    value = {f"d{i}": [float(i), 1.0] for i in range(15)} | {"d3": [9.0, 0.0]}
+    want = {r[0]: [value.get(d) for d in r[1:]] for r in data}
+    for small_bytes in (1 << 20, 0):
+        found = ideas.with_vectors(wide, vectors, small_bytes)
+        assert found.columns == wide.columns
+        assert {r["idea_db_id"]: [r[c] for c in names] for r in found.collect()} == want
+
+
 def test_the_load_fills_missing_vectors_once(spark, tmp_path):
     given = spark.createDataFrame(
         [(1, 1, "known", 7, "T"), (2, 1, "new text", 7, "T"), (3, 1, "new text", 7, "T"), (4, 1, " ", 7, "T")],
