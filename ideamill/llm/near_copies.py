@@ -86,16 +86,16 @@ def near_links(prints: DataFrame, tree_points: int = TREE_POINTS) -> DataFrame:
             blocks = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2").reshape(-1, TABLES).astype(np.int64)
             keys = (blocks + (np.arange(TABLES) << BLOCK_BITS)).astype(np.int32)
             for t in range(TABLES):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[:, t]), b.column(0)], ["shard", "place"])
-
-    keys = written(prints.select("place", "print").mapInArrow(shards, "shard int, place long"), "shards")
-    # A shard of one fingerprint has nothing to link; a large one is cut into trees that meet pairwise.
-    sizes = keys.groupBy("shard").count().where("count > 1").select("shard", F.ceil(F.col("count") / tree_points).cast("int").alias("trees"))
-    own = F.pmod(F.xxhash64("place"), "trees").cast("int")
-    dealt = (keys.join(sizes, "shard").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
-             .select("shard", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("asks"), "own", "place")
-             .join(prints, "place"))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[:, t]), *b.columns], ["shard", "place", "print"])
+
+    keys = prints.select("place", "print").mapInArrow(shards, "shard int, place long, print binary")
+    # A large shard is cut into trees that meet pairwise. Written, so that so few rows are seen to be few.
+    hot = written(keys.groupBy("shard").count().where(F.col("count") > tree_points)
+                  .select("shard", F.ceil(F.col("count") / tree_points).cast("int").alias("trees")), "hot-shards")
+    trees = F.coalesce("trees", F.lit(1))
+    dealt = (keys.join(hot, "shard", "left").withColumn("own", F.pmod(F.xxhash64("place"), trees).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), trees - 1)))
+             .select("shard", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("asks"), "own", "place", "print"))
     parts = parts_for(TABLES * prints.count(), SHARD_ROWS)
 
     def link(batches: Iterator[pa.RecordBatch]):

@@ -131,9 +131,10 @@ def linked_rows(group: np.ndarray, points: np.ndarray, in_tree: np.ndarray, asks
     place[tree] = np.arange(len(tree))
     forest = BkForest(points[tree], place[first[tree]])
     asking = np.flatnonzero(asks & alive)
-    # Searches of at most FRONTIER pairs at a time, even if no edge is cut off.
+    # Searches of at most FRONTIER pairs of words at a time, even if no edge is cut off.
     load = np.cumsum(np.repeat(np.add.reduceat(in_tree.astype(np.int64), starts), sizes)[asking]) if len(asking) else asking
-    for chunk in np.split(asking, np.searchsorted(load, np.arange(FRONTIER, load[-1] if len(load) else 0, FRONTIER))):
+    most = FRONTIER // points[:1].size if len(points) else FRONTIER
+    for chunk in np.split(asking, np.searchsorted(load, np.arange(most, load[-1] if len(load) else 0, most))):
         if len(chunk):
             query, node = forest.near(points[chunk], place[first[chunk]], radius)
             _unite(root, chunk[query], tree[node])

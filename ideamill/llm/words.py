@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 # Words in each of a memo's two generations, and bytes of text looked up together.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 150_000
 GROUP_BYTES = 1 << 20
 # ASCII marks that may end a word; the apostrophe is missing, as it starts contractions.
 _ENDS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~<>"
