@@ -58,6 +58,9 @@ class RankArrayBpe:
         self.last = [vocab.get(m + end) for m in self.marks]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        # Of each id its decimal text and its token's text, a space after each.
+        self.id_bytes = {i: b"%d " % i for i in self.token}
+        self.token_bytes = {i: t.encode() + b" " for i, t in self.token.items()}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # The file's \s is the Unicode property; Python's class would add four control characters.
         self.pieces = regex.compile(pattern.replace("[^\\s", "[^\\p{White_Space}"), regex.V0)
@@ -160,17 +163,19 @@ class RankArrayBpe:
                     ids += merged
         return ids
 
-    def _value(self, ids: list[int]) -> tuple[list[int], bytes, bytes]:
-        return ids, " ".join(map(str, ids)).encode(), self.decode(ids).encode()
+    def _value(self, ids: list[int]) -> tuple[list[int], int, bytes, bytes]:
+        """The ids, their number, and their decimal and decoded texts with a space after each id."""
+        return (ids, len(ids), b"".join(map(self.id_bytes.__getitem__, ids)),
+                b"".join(map(self.token_bytes.__getitem__, ids)))
 
-    def _whole_value(self, word: str) -> tuple[list[int], bytes, bytes]:
+    def _whole_value(self, word: str) -> tuple[list[int], int, bytes, bytes]:
         return self._value(self._whole(word))
 
-    def _letters(self, words: list[str]) -> Iterator[tuple[list[int], bytes, bytes]]:
+    def _letters(self, words: list[str]) -> Iterator[tuple[list[int], int, bytes, bytes]]:
         return map(self._value, self.merge([self._parts(w.encode()) for w in words]))
 
-    def _both(self, a: tuple, b: tuple) -> tuple[list[int], bytes, bytes]:
-        return self._value(a[0] + b[0])
+    def _both(self, a: tuple, b: tuple) -> tuple[list[int], int, bytes, bytes]:
+        return a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of whole texts."""
@@ -184,9 +189,8 @@ class RankArrayBpe:
     def both_as_text(self, raws: list[bytes]) -> Iterator[tuple[int, bytes, bytes]]:
         """For each whole text its id count, its ids as decimal text and its decoded text."""
         for values in self.memo.values(raws):
-            values = [v for v in values if v[0]]
-            yield (sum([len(v[0]) for v in values]), b" ".join([v[1] for v in values]),
-                   b" ".join([v[2] for v in values]))
+            _, counts, ids, tokens = zip(*values) if values else ((),) * 4
+            yield sum(counts), b"".join(ids)[:-1], b"".join(tokens)[:-1]
 
 
 def encode_texts(docs: DataFrame, file: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -152,3 +152,22 @@ def test_op2_levels_hot_groups_among_many(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize("name", ["op1_token_files", "op2_karmarkar_karp", "op3_rank_array_bpe", "op6_best_fit_packing"])
 def test_empty_table(spark, empty_folder, name):
     assert QUERIES[name](spark, empty_folder).count() == 0
+
+
+def test_op3_writes_the_texts_of_a_word_once(library):
+    """A word and the marks after it are encoded apart; their digest texts are joined, not made again."""
+    made = []
+
+    class Counted(bpe.RankArrayBpe):
+        def _value(self, ids):
+            made.append(ids)
+            return super()._value(ids)
+
+    text = "alpha beta. gamma. gamma, beta, <|x alpha."
+    own = Counted(VOCABULARY)
+    (n, ids, decoded), empty = own.both_as_text([text.replace("<|", "").encode(), b""])
+    want = ids_of(library, text.replace("<|", ""))
+    assert (n, ids.decode()) == (len(want), " ".join(map(str, want)))
+    assert decoded.decode() == library.decode(want, skip_special_tokens=False) and empty == (0, b"", b"")
+    # alpha, beta, gamma, x, the full stop and the comma.
+    assert len(made) == 6
