@@ -12,7 +12,7 @@ from ideamill.functions.vectors import vector_digest
 from ideamill.operators.clustering import block_pairs, with_points
 from ideamill.operators.kmeans import SEED, fit_groups, labelled, prepared
 from ideamill.operators.silhouettes import silhouette_points
-from ideamill.settings import BLOCK_POINTS
+from ideamill.settings import BLOCK_POINTS, FIT_POINTS
 from ideamill.sources.tables import written
 
 # Restarts and rounds of a sweep's fits.
@@ -25,18 +25,19 @@ def _features(df: DataFrame, vector: str) -> DataFrame:
 
 
 def sweep_labels(df: DataFrame, group: str, vector: str, least: int, most: int, restarts: int = SWEEP_RESTARTS,
-                 rounds: int = SWEEP_ROUNDS, seed: int = SEED, block_points: int = BLOCK_POINTS
+                 rounds: int = SWEEP_ROUNDS, seed: int = SEED, block_points: int = FIT_POINTS
                  ) -> tuple[DataFrame, DataFrame]:
     """K-means of every group for ``least`` to ``most`` clusters, all fits in one job.
 
     Gives the written points (group, point, vector, weight) and their labels (group, k, point, cluster,
     distance). A group has fits up to its number of distinct vectors; rows without group or vector are left out.
     """
-    points, sizes, blocks = prepared(with_points(df, group, vector), group, vector, block_points)
+    slice_points = min(block_points, BLOCK_POINTS)
+    points, sizes, blocks = prepared(with_points(df, group, vector), group, vector, slice_points)
     counts = F.explode(F.sequence(F.lit(least).cast("long"), F.lit(most).cast("long")))
     fits = sizes.withColumn("clusters", counts).where("clusters <= n_points")
     centers = fit_groups(points, blocks, fits, group, restarts, rounds, seed, block_points)
-    labels = labelled(blocks, centers, group, ["clusters"], block_points)
+    labels = labelled(blocks, centers, group, ["clusters"], slice_points)
     return points, written(labels.withColumnRenamed("clusters", "k"), "sweep")
 
 
@@ -48,12 +49,12 @@ def elbow_sweep(df: DataFrame, group: str, vector: str, most: int = 10, **option
         F.sum(F.col("weight") * F.col("distance") * F.col("distance")).alias("wss"))
 
 
-def silhouette_sweep(df: DataFrame, group: str, vector: str, most: int = 10, block_points: int = BLOCK_POINTS,
+def silhouette_sweep(df: DataFrame, group: str, vector: str, most: int = 10, block_points: int = FIT_POINTS,
                      **options) -> DataFrame:
     """Mean Euclidean silhouette of each group for 2 to ``most`` clusters: (group, k, silhouette)."""
     points, labels = sweep_labels(df, group, vector, 2, most, block_points=block_points, **options)
     rows = labels.join(points, [group, "point"]).select(group, "k", "point", "cluster", "weight", "vector")
-    found = silhouette_points(rows, [group, "k"], block_points)
+    found = silhouette_points(rows, [group, "k"], min(block_points, BLOCK_POINTS))
     weight = F.col("weight")
     return found.groupBy(group, "k").agg(
         (F.sum(F.col("silhouette") * weight) / F.sum(weight)).alias("silhouette"))

@@ -11,7 +11,7 @@ from ideamill.operators.lookup import look_up, new_records
 from ideamill.operators.numbering import surrogate_keys
 from ideamill.plans.export import idea_vectors
 from ideamill.schemas import VECTOR_COLUMNS
-from ideamill.settings import BLOCK_POINTS, VECTOR_SIZE
+from ideamill.settings import FIT_POINTS, VECTOR_SIZE
 from ideamill.sources.tables import written
 
 GROUP = ["company_id", "cluster_number"]
@@ -20,7 +20,7 @@ GROUP = ["company_id", "cluster_number"]
 def clustered_ideas(dim_idea: DataFrame, fact: DataFrame, loaded: DataFrame,
                     size: int = VECTOR_SIZE, as_text: bool = False,
                     columns: list[str] = VECTOR_COLUMNS, restarts: int = RESTARTS,
-                    rounds: int = ROUNDS, seed: int = SEED, block_points: int = BLOCK_POINTS
+                    rounds: int = ROUNDS, seed: int = SEED, block_points: int = FIT_POINTS
                     ) -> DataFrame:
     """Ideas not clustered yet with their cluster and distance, per company; written once."""
     ideas = idea_vectors(

@@ -291,3 +291,49 @@ def test_sweeps_and_projection(spark):
     _, s, _ = np.linalg.svd(x - x.mean(0), full_matrices=False)
     assert np.var(pc[:, 0], ddof=1) == pytest.approx(s[0] ** 2 / 59)
     assert np.var(pc[:, 1], ddof=1) == pytest.approx(s[1] ** 2 / 59)
+
+
+@pytest.mark.parametrize("clusters", [1, 6, 40])
+def test_measuring_only_what_may_have_changed_gives_the_whole_rounds(clusters):
+    """The fit of a task against rounds that measure every point against every centre, also with equal distances."""
+    rng = np.random.default_rng(4)
+    for x in (rng.normal(size=(400, 5)), np.unique(rng.integers(0, 4, (400, 3)), axis=0).astype(float)):
+        weights, marks = rng.integers(1, 4, len(x)).astype(float), rng.integers(-2**62, 2**62, len(x))
+        centers, cost, empty = kmeans.fit_block(x, weights, marks, clusters, 2, 300, 42)
+        gaps = ((x[:, None] - centers) ** 2).sum(-1)
+        label = gaps.argmin(1)
+        assert cost == pytest.approx(weights @ gaps.min(1), abs=1e-9) and empty == clusters - len(set(label))
+        held, _, _ = kmeans.fit_block(x, weights, marks, clusters, 2, 0, 42)
+        for _ in range(300):
+            label = ((x[:, None] - held) ** 2).sum(-1).argmin(1)
+            mass, total = kmeans.cluster_sums(x * weights[:, None], weights, label, clusters)
+            moved = np.where(mass[:, None] > 0, total / np.maximum(mass, 1e-300)[:, None], held)
+            if np.allclose(moved, held, rtol=0, atol=1e-12):
+                break
+            held = moved
+        assert len(x) < 400 or centers == pytest.approx(held, abs=1e-9)
+
+
+def test_a_group_of_several_blocks_takes_no_job_a_round(spark, monkeypatch):
+    """Above a block and below the size a task may hold, a fit needs no round of Spark jobs, and no slice of all its centres."""
+    def rounds(*_):
+        raise AssertionError("rounds over blocks")
+    monkeypatch.setattr(kmeans, "block_pass", rounds)
+    df = points(spark, {1: 5_000, 2: 30}).withColumn("point", F.col("id").cast("string"))
+    made, sizes, blocks = kmeans.prepared(df, "company_id", "vector")
+    assert {r["company_id"]: r["n_blocks"] for r in sizes.collect()} == {1: 2, 2: 1}
+    fits = sizes.withColumn("clusters", F.lit(3).cast("long"))
+    found = kmeans.fit_groups(made, blocks, fits, "company_id", restarts=3, rounds=5).collect()
+    assert sorted((r["company_id"], r["cluster"]) for r in found) == [(c, n) for c in (1, 2) for n in range(3)]
+
+
+def test_copies_of_blocks_grow_with_the_points_alone(spark):
+    """The share of restarts of a task hangs on the number of fits, so what is shuffled grows as the points do."""
+    seen = []
+    for size in (40, 4_000):
+        df = points(spark, {1: size}).withColumn("point", F.col("id").cast("string"))
+        made, sizes, blocks = kmeans.prepared(df, "company_id", "vector")
+        fits = sizes.withColumn("clusters", F.lit(2).cast("long"))
+        plan = kmeans._fit_whole(blocks, fits, "company_id", 50, 5, 42)._jdf.queryExecution().toString()
+        seen.append("sequence(0, 49" in plan)
+    assert seen == [True, True]
