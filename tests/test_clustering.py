@@ -337,3 +337,61 @@ def test_copies_of_blocks_grow_with_the_points_alone(spark):
         plan = kmeans._fit_whole(blocks, fits, "company_id", 50, 5, 42)._jdf.queryExecution().toString()
         seen.append("sequence(0, 49" in plan)
     assert seen == [True, True]
+
+
+def test_few_centres_measure_only_points_whose_slack_is_used_up(monkeypatch):
+    """The rounds that measure every point give the same centres; most points of most rounds are not measured."""
+    measured, measure = [], kmeans._FewCenters.measure
+    monkeypatch.setattr(kmeans._FewCenters, "measure", lambda s, c, rows: measured.append(len(rows)) or measure(s, c, rows))
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6_000, 8))
+    weights, marks = rng.integers(1, 4, len(x)).astype(float), rng.integers(-2**62, 2**62, len(x))
+    for moved in (x, x * 1e-3, x + 1e3):
+        measured.clear()
+        centers, cost, empty = kmeans.fit_block(moved, weights, marks, 7, 1, 300, 42)
+        whole, whole_cost, whole_empty = kmeans._fit_many(moved, weights, marks, 7, 1, 300, 42)
+        assert cost == pytest.approx(whole_cost, rel=1e-9) and empty == whole_empty == 0
+        assert centers - moved[0] == pytest.approx(whole - moved[0], rel=1e-6, abs=1e-6 * np.abs(x).max())
+        assert len(measured) > 40 and sum(measured) < 0.5 * len(measured) * len(x)
+
+
+def test_few_centres_of_equal_distances():
+    """Points on a lattice lie between centres: differences decide, the first of equal ones wins, and nothing is lost."""
+    x = np.stack(np.meshgrid(*[np.arange(6.0)] * 3), -1).reshape(-1, 3)
+    held, centers = kmeans._FewCenters(x, np.ones(len(x))), np.array([[1.0, 1, 1], [3, 1, 1], [1, 3, 1], [3, 3, 3]])
+    held.begin(4)
+    gaps = ((x[:, None] - centers) ** 2).sum(-1)
+    assert (held.measure(centers, np.arange(len(x))) == gaps.argmin(1)).all()
+    near, second = np.sqrt(np.sort(gaps)[:, :2]).T
+    assert (held.key <= (second - near) / held.scale).all() and (held.key[second == near] <= 0).all()
+
+
+def test_counts_of_a_restart_share_its_draws():
+    rng = np.random.default_rng(9)
+    x, weights = rng.normal(size=(300, 4)), np.ones(300)
+    marks = rng.integers(-2**62, 2**62, 300)
+    together = {c: (centers, cost, empty) for c, centers, cost, empty in kmeans.fit_counts(
+        x, weights, marks, [1, 2, 5, 9, 40], 3, 300, 42)}
+    for count, (centers, cost, empty) in together.items():
+        alone = kmeans.fit_block(x, weights, marks, count, 3, 300, 42)
+        assert (centers == alone[0]).all() and (cost, empty) == alone[1:] and len(centers) == count
+
+
+def test_counts_of_a_sweep_do_not_multiply_the_copies(spark):
+    """Ten counts of twenty companies: a share takes the restarts of all counts, so each company is copied ten times at most."""
+    df = points(spark, {c: 12 for c in range(20)}).withColumn("point", F.col("id").cast("string"))
+    made, sizes, blocks = kmeans.prepared(df, "company_id", "vector")
+    fits = sizes.withColumn("clusters", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(10).cast("long"))))
+    seen, fit_counts = spark.sparkContext.accumulator(0), kmeans.fit_counts
+
+    def counted(x, *rest):
+        seen.add(1)
+        return fit_counts(x, *rest)
+
+    kmeans.fit_counts = counted
+    try:
+        found = kmeans._fit_whole(blocks, fits, "company_id", 10, 20, 42).groupBy("company_id", "clusters").count().collect()
+    finally:
+        kmeans.fit_counts = fit_counts
+    assert {(r["company_id"], r["clusters"], r["count"]) for r in found} == {(c, k, k) for c in range(20) for k in range(1, 11)}
+    assert seen.value == 200
