@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from ideamill.functions.vectors import vector_digest
 from ideamill.operators.clustering import block_pairs, with_points
 from ideamill.operators.kmeans import SEED, fit_groups, labelled, prepared
-from ideamill.operators.silhouettes import silhouette_points
+from ideamill.operators.silhouettes import CHUNK_POINTS, silhouette_means, silhouette_points
 from ideamill.settings import BLOCK_POINTS, FIT_POINTS
 from ideamill.sources.tables import written
 
 # Restarts and rounds of a sweep's fits.
 SWEEP_RESTARTS, SWEEP_ROUNDS = 10, 300
+# Up to so many clusters of all counts together, the silhouettes of a sweep share their distances.
+SHARED_CLUSTERS = 256
 
 
 def _features(df: DataFrame, vector: str) -> DataFrame:
@@ -53,6 +55,8 @@ def silhouette_sweep(df: DataFrame, group: str, vector: str, most: int = 10, blo
                      **options) -> DataFrame:
     """Mean Euclidean silhouette of each group for 2 to ``most`` clusters: (group, k, silhouette)."""
     points, labels = sweep_labels(df, group, vector, 2, most, block_points=block_points, **options)
+    if most * (most + 1) // 2 <= SHARED_CLUSTERS:
+        return silhouette_means(points, labels, group, min(block_points, CHUNK_POINTS))
     rows = labels.join(points, [group, "point"]).select(group, "k", "point", "cluster", "weight", "vector")
     found = silhouette_points(rows, [group, "k"], min(block_points, BLOCK_POINTS))
     weight = F.col("weight")

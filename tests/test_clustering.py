@@ -10,6 +10,7 @@ from ideamill.operators.quality import (
     elbow_sweep, euclidean_silhouette, project_2d, silhouette, silhouette_sweep, sweep_labels,
     within_sum_of_squares,
 )
+from ideamill.operators import quality, silhouettes
 from ideamill.settings import BLOCK_BYTES
 
 SCHEMA = "id long, company_id long, vector array<double>"
@@ -395,3 +396,54 @@ def test_counts_of_a_sweep_do_not_multiply_the_copies(spark):
         kmeans.fit_counts = fit_counts
     assert {(r["company_id"], r["clusters"], r["count"]) for r in found} == {(c, k, k) for c in range(20) for k in range(1, 11)}
     assert seen.value == 200
+
+
+@pytest.mark.parametrize("chunk_points", [9, 4_096])
+def test_silhouettes_of_many_labellings_equal_brute_force(spark, chunk_points):
+    """Several chunks of a company; copies, a point alone in its cluster, an empty and an only cluster."""
+    rng = np.random.default_rng(12)
+    data = [(company, str(i), rng.normal(size=3).round(1 if company == 2 else 6).tolist(), int(rng.integers(1, 4)))
+            for company, size in ((1, 50), (2, 23), (3, 4)) for i in range(size)]
+    named = [(company, k, point, 1 if company == 3 and k == 2 else 0 if point == "0" else 1 + int(point) % (k - 1 or 1))
+             for company, point, _, _ in data for k in ((2, 3, 5) if company < 3 else (2, 3))]
+    made = spark.createDataFrame(data, "company_id long, point string, vector array<double>, weight long")
+    labels = spark.createDataFrame(named, "company_id long, k long, point string, cluster long")
+    found = {(r["company_id"], r["k"]): r["silhouette"]
+             for r in silhouettes.silhouette_means(made, labels, "company_id", chunk_points).collect()}
+    label_of = {(c, k, p): n for c, k, p, n in named}
+    for company, k in {(c, k) for c, k, _, _ in named}:
+        rows = [(v, label_of[company, k, p]) for c, p, v, w in data if c == company for _ in range(w)]
+        label = np.array([n for _, n in rows])
+        if len(set(label)) == 1:
+            assert found[company, k] is None
+        else:
+            assert found[company, k] == pytest.approx(np.mean(plain_silhouette(np.array([v for v, _ in rows]), label)))
+    assert len(found) == 8
+
+
+def test_a_sweep_measures_each_pair_of_points_once(spark, monkeypatch):
+    """All counts share the distances; above SHARED_CLUSTERS each count measures its own, with the same means."""
+    def each_count(*_):
+        raise AssertionError("distances of every count")
+    df = points(spark, {1: 60, 2: 3}, seed=4)
+    own = silhouettes.silhouette_points
+    monkeypatch.setattr(quality, "silhouette_points", each_count)
+    shared = {(r["company_id"], r["k"]): r["silhouette"] for r in silhouette_sweep(df, "company_id", "vector", most=4, restarts=2).collect()}
+    monkeypatch.setattr(quality, "silhouette_points", own)
+    monkeypatch.setattr(quality, "SHARED_CLUSTERS", 0)
+    alone = {(r["company_id"], r["k"]): r["silhouette"] for r in silhouette_sweep(df, "company_id", "vector", most=4, restarts=2).collect()}
+    assert set(shared) == {(1, 2), (1, 3), (1, 4), (2, 2), (2, 3)} and shared == pytest.approx(alone)
+
+
+def test_sums_of_pairs_by_tiles_equal_brute_force(monkeypatch):
+    """Tiles within a chunk and across two, with points that lie close to each other far from zero."""
+    monkeypatch.setattr(silhouettes, "TILE", 7)
+    rng = np.random.default_rng(13)
+    x, y, marks, others = rng.normal(size=(30, 3)), rng.normal(size=(17, 3)), rng.random((30, 4)), rng.random((17, 4))
+    x[5], y[3] = x[4] + 1e-7, x[9] - 1e-7
+    x, y = x + 10, y + 10
+    far = np.sqrt(((x[:, None] - y) ** 2).sum(-1))
+    mine, theirs = silhouettes.pair_sums(x, y, marks, others)
+    assert mine == pytest.approx(far @ others) and theirs == pytest.approx(far.T @ marks)
+    own = np.sqrt(((x[:, None] - x) ** 2).sum(-1))
+    assert silhouettes.pair_sums(x, x, marks, marks, True)[0] == pytest.approx(own @ marks)
