@@ -447,3 +447,31 @@ def test_sums_of_pairs_by_tiles_equal_brute_force(monkeypatch):
     assert mine == pytest.approx(far @ others) and theirs == pytest.approx(far.T @ marks)
     own = np.sqrt(((x[:, None] - x) ** 2).sum(-1))
     assert silhouettes.pair_sums(x, x, marks, marks, True)[0] == pytest.approx(own @ marks)
+
+
+def test_many_centres_are_screened_in_single_precision(monkeypatch):
+    """Double precision only where single cannot tell two centres apart; labels, also of equal distances, are those of double."""
+    seen, two_nearest = {"float32": 0, "float64": 0}, kmeans.two_nearest
+
+    def counted(x, square, centers):
+        seen[x.dtype.name] += len(x)
+        return two_nearest(x, square, centers)
+
+    monkeypatch.setattr(kmeans, "two_nearest", counted)
+    rng = np.random.default_rng(14)
+    for x in (rng.normal(size=(3_000, 6)), rng.normal(size=(3_000, 6)) + 50, np.unique(rng.integers(0, 6, (900, 3)), axis=0) + 7.0):
+        centers = x[rng.choice(len(x), 90, replace=False)]
+        held = kmeans._Assignment(x)
+        held.meet(centers, np.arange(90))
+        gaps = ((x[:, None] - centers) ** 2).sum(-1)
+        assert (held.label == gaps.argmin(1)).all() and held.near == pytest.approx(gaps.min(1))
+        assert (held.other <= np.sort(gaps)[:, 1] + 1e-9).all()
+    seen.update(float32=0, float64=0)
+    kmeans._Assignment(rng.normal(size=(3_000, 6))).meet(centers := rng.normal(size=(90, 6)), np.arange(90))
+    assert seen["float32"] == 3_000 and seen["float64"] < 60 and len(centers) == 90
+
+
+def test_values_that_are_no_numbers_stay_in_double_precision():
+    x = np.array([[1.0, 2.0], [np.nan, 0.0], [3.0, 1.0]])
+    assert kmeans._Assignment(x).held is None
+    kmeans.fit_block(x, np.ones(3), np.arange(3), 2, 0, 5, 42)
