@@ -475,3 +475,17 @@ def test_values_that_are_no_numbers_stay_in_double_precision():
     x = np.array([[1.0, 2.0], [np.nan, 0.0], [3.0, 1.0]])
     assert kmeans._Assignment(x).held is None
     kmeans.fit_block(x, np.ones(3), np.arange(3), 2, 0, 5, 42)
+
+
+def test_fits_of_all_counts_keep_the_identity_of_their_sums(monkeypatch):
+    """Cost is sum|x|^2 - |sum x|^2 / n of the own clusters, with copies, and no count measures every point in every round."""
+    def whole_rounds(*_):
+        raise AssertionError("all points in every round")
+    monkeypatch.setattr(kmeans, "_fit_many", whole_rounds)
+    rng = np.random.default_rng(15)
+    x, weights = rng.normal(size=(500, 4)), rng.integers(1, 5, 500).astype(float)
+    for clusters, centers, cost, empty in kmeans.fit_counts(x, weights, rng.integers(-2**62, 2**62, 500), [*range(1, 11)], 0, 300, 42):
+        label = ((x[:, None] - centers) ** 2).sum(-1).argmin(1)
+        inside = sum((weights[own] @ x[own] ** 2 - (weights[own] @ x[own]) ** 2 / weights[own].sum()).sum()
+                     for own in (label == c for c in range(clusters)))
+        assert empty == 0 and cost == pytest.approx(inside, abs=1e-6)
